@@ -237,12 +237,22 @@ DIAGNOSIS_RULES = {
 }
 
 
-def diagnosis_processed(codes: DataFrame) -> DataFrame:
-    """One row per raw Code (``a01`` and ``A01 `` stay apart), then rules."""
-    cleaned = codes.withColumns({
+def add_diagnosis_fields(codes: DataFrame) -> DataFrame:
+    return codes.withColumns({
         "code_standardized": F.upper(F.trim("Code")),
         "description_clean": F.trim("Description"),
         "processed_timestamp": F.current_timestamp(),
     })
-    order = [F.col(c).asc_nulls_last() for c in DIAGNOSIS_TIE_BREAK]
-    return expect_all_or_drop(keep_first(cleaned, ["Code"], order), DIAGNOSIS_RULES)
+
+
+def dedup_diagnosis(codes: DataFrame) -> DataFrame:
+    """One row per raw Code (``a01`` and ``A01 `` stay apart).
+
+    The published table keeps an arbitrary row per code; here the smallest
+    description wins (NULL last), so reruns give the same table.
+    """
+    return keep_first(codes, ["Code"], [F.col(c).asc_nulls_last() for c in DIAGNOSIS_TIE_BREAK])
+
+
+def diagnosis_processed(codes: DataFrame) -> DataFrame:
+    return expect_all_or_drop(dedup_diagnosis(add_diagnosis_fields(codes)), DIAGNOSIS_RULES)
