@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimwright.operators.expectations import expectation_metrics
+from claimwright.operators.materialize import materialize
 from claimwright.operators.ranking import global_row_number
 from claimwright.plans import gold, medallion, quality, silver
 from claimwright.session import scratch_path
@@ -62,7 +63,9 @@ def comparable(df: DataFrame, drop: tuple[str, ...] = CLOCK_COLUMNS) -> DataFram
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(t, T.ArrayType):
             et = t.elementType
-            c = F.array_join(F.transform(c, _element_text(et)), "|")
+            if not isinstance(et, T.StringType):
+                c = F.transform(c, _element_text(et))
+            c = F.array_join(c, "|")
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -89,9 +92,15 @@ def _providers_processed(spark: SparkSession, d: str) -> DataFrame:
     return silver.providers_processed(_bronze(spark, d, "providers"))
 
 
+def _silver_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three silver tables gold reads, each computed once and stored."""
+    return (materialize(_claims_processed(spark, d), "claims_processed"),
+            materialize(_members_processed(spark, d), "members_processed"),
+            materialize(_providers_processed(spark, d), "providers_processed"))
+
+
 def _analytics(spark: SparkSession, d: str) -> DataFrame:
-    return gold.claims_analytics(_claims_processed(spark, d), _members_processed(spark, d),
-                                 _providers_processed(spark, d))
+    return gold.claims_analytics(*_silver_tables(spark, d))
 
 
 # --- ingestion (files written by Spark from the test tables, then read back) ---
@@ -243,9 +252,7 @@ def q_provider_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_claims_enriched(spark: SparkSession, d: str) -> DataFrame:
-    e = gold.claims_enriched(_claims_processed(spark, d), _members_processed(spark, d),
-                             _providers_processed(spark, d))
-    return comparable(e)
+    return comparable(gold.claims_enriched(*_silver_tables(spark, d)))
 
 
 FRAUD_OUTPUT = ("claim_id", "member_id", "provider_id", "claim_amount", "avg_claim_amount",
