@@ -113,8 +113,7 @@ def _stage(spark: SparkSession, d: str, source: str, num_files: int = 4) -> str:
 def _ingest_stream(spark: SparkSession, d: str, source: str) -> DataFrame:
     staged = _stage(spark, d, source)
     sink = scratch_path(spark, f"bronze-{source}")
-    ingest_directory(spark, source, staged, sink, scratch_path(spark, f"ckpt-{source}"),
-                     max_files_per_trigger=1)
+    ingest_directory(spark, source, staged, sink, scratch_path(spark, f"ckpt-{source}"))
     return comparable(spark.read.parquet(sink), CLOCK_COLUMNS + LOAD_TIME)
 
 
@@ -295,12 +294,12 @@ def q_sql_select_claims(spark: SparkSession, d: str) -> DataFrame:
 def q_medallion_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """Store bronze, build and store every later dataset; row count per dataset."""
     out_dir = scratch_path(spark, "medallion")
-    bronze = {}
+    bronze_paths = {}
     for source in ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference"):
         path = f"{out_dir}/bronze/{source}"
         TD.bronze(spark, d, source).write.mode("overwrite").parquet(path)
-        bronze[source] = spark.read.parquet(path)
-    result = medallion.materialize(spark, bronze, out_dir, as_of=AS_OF)
+        bronze_paths[source] = path
+    result = medallion.materialize(spark, {}, out_dir, as_of=AS_OF, bronze_paths=bronze_paths)
     return medallion.dataset_row_counts(result)
 
 
