@@ -5,10 +5,13 @@ it onto the source roles deterministically (see FIXTURES.md section 2), so
 that an independent SQL engine can rebuild exactly the same rows.  Every
 role is a Spark plan over the whole input tables; nothing is sampled.
 
-``bronze_*`` returns the role as the bronze table (dates parsed, lineage
-column set to the table it came from).  ``raw_*`` returns the same rows as
-the source files would carry them (dates and timestamps as text), for
+:func:`bronze` returns a role as its bronze table (dates parsed, lineage
+column set to the table it came from).  :func:`raw` returns the same rows
+as the source files would carry them (dates and timestamps as text), for
 staging CSV / JSON files that the file readers then ingest.
+
+The modulo expressions below shape the data (NULL keys, duplicates, older
+copies, claims whose provider is unknown); they never cap or sample rows.
 """
 
 from __future__ import annotations
@@ -16,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwright.sources.files import to_bronze
-from claimwright.sources.schemas import AMOUNT, DATE_FORMAT, TIMESTAMP_FORMAT
+from claimwright.sources.schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 
 # Fixed value: the date every clock-dependent rule is evaluated at in tests.
 AS_OF = "2000-06-01"
