@@ -294,11 +294,8 @@ def q_sql_select_claims(spark: SparkSession, d: str) -> DataFrame:
 def q_medallion_end_to_end(spark: SparkSession, d: str) -> DataFrame:
     """Store bronze, build and store every later dataset; row count per dataset."""
     out_dir = scratch_path(spark, "medallion")
-    bronze_paths = {}
-    for source in ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference"):
-        path = f"{out_dir}/bronze/{source}"
-        TD.bronze(spark, d, source).write.mode("overwrite").parquet(path)
-        bronze_paths[source] = path
+    sources = ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference")
+    bronze_paths = medallion.store_bronze({s: TD.bronze(spark, d, s) for s in sources}, out_dir)
     result = medallion.materialize(spark, {}, out_dir, as_of=AS_OF, bronze_paths=bronze_paths)
     return medallion.dataset_row_counts(result)
 
