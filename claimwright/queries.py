@@ -11,6 +11,7 @@ same shape.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,10 +94,16 @@ def _providers_processed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _silver_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three silver tables gold reads, each computed once and stored."""
-    return (materialize(_claims_processed(spark, d), "claims_processed"),
-            materialize(_members_processed(spark, d), "members_processed"),
-            materialize(_providers_processed(spark, d), "providers_processed"))
+    """The three silver tables gold reads, each computed once and stored.
+
+    They are independent, so the three writes run as concurrent jobs.
+    """
+    plans = [(_claims_processed(spark, d), "claims_processed"),
+             (_members_processed(spark, d), "members_processed"),
+             (_providers_processed(spark, d), "providers_processed")]
+    with ThreadPoolExecutor(max_workers=len(plans)) as pool:
+        claims, members, providers = pool.map(lambda p: materialize(*p), plans)
+    return claims, members, providers
 
 
 def _analytics(spark: SparkSession, d: str) -> DataFrame:
