@@ -49,11 +49,16 @@ def get_session(
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering one only if unset."""
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached on a bare session (tests): the cluster setting wins
         # whenever it exists.

@@ -37,8 +37,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None =
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread_by:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # remote (Connect) session: leave the scan as is
+            return df
+        if splits < cores:
             df = df.repartition(cores, spread_by)
     return df
 
