@@ -26,13 +26,6 @@ STREAM_CLAIM_TYPE = "Outpatient"
 STREAM_CHANNEL = "API"
 # --- end of fixed values --------------------------------------------------
 
-# canonical claim shape shared by both feeds, in published order
-CLAIM_COLUMNS = (
-    "claim_id", "member_id", "provider_id", "claim_amount", "claim_date", "service_date",
-    "status", "icd10_codes", "cpt_codes", "claim_type", "submission_channel", "notes",
-    "original_ingest_timestamp", "ingestion_timestamp", "source_file", "source_type",
-)
-
 # Tie-breaks that make every "newest row" choice deterministic when the
 # ordering column ties (e.g. rows of one micro-batch share its timestamp).
 CLAIM_TIE_BREAK = ("source_type", "claim_date", "service_date", "claim_amount", "member_id",
@@ -67,47 +60,44 @@ def claims_rules(as_of: str | _dt.date | None = None) -> dict[str, str]:
     }
 
 
+# --- fixed values: published claim columns <- source fields ----------------
+# (None: the feed has no such field; a constant or NULL is used instead)
+BATCH_CLAIM_FIELDS = {
+    "claim_id": "ClaimID", "member_id": "MemberID", "provider_id": "ProviderID",
+    "claim_amount": "Amount", "claim_date": "ClaimDate", "service_date": "ServiceDate",
+    "status": "Status", "icd10_codes": "ICD10Codes", "cpt_codes": "CPTCodes",
+    "claim_type": "ClaimType", "submission_channel": "SubmissionChannel", "notes": "Notes",
+    "original_ingest_timestamp": "OriginalIngestTimestamp",
+    "ingestion_timestamp": "ingestion_timestamp", "source_file": "source_file",
+}
+STREAM_CLAIM_FIELDS = {
+    "claim_id": "ClaimID", "member_id": "MemberID", "provider_id": "ProviderID",
+    "claim_amount": "Amount", "claim_date": "ClaimDate", "service_date": "ClaimDate",
+    "status": "Status", "icd10_codes": "ICD10Codes", "cpt_codes": "CPTCodes",
+    "claim_type": None, "submission_channel": None, "notes": None,
+    "original_ingest_timestamp": "EventTimestamp",
+    "ingestion_timestamp": "ingestion_timestamp", "source_file": "source_file",
+}
+# --- end of fixed values ------------------------------------------------------
+
+
+def _canonical(df: DataFrame, fields: dict[str, str | None], constants: dict[str, Column],
+               source_type: str) -> DataFrame:
+    cols = [F.col(src).alias(name) if src is not None else constants[name].alias(name)
+            for name, src in fields.items()]
+    return df.select(*cols, F.lit(source_type).alias("source_type"))
+
+
 def standardize_batch_claims(batch: DataFrame) -> DataFrame:
-    return batch.select(
-        F.col("ClaimID").alias("claim_id"),
-        F.col("MemberID").alias("member_id"),
-        F.col("ProviderID").alias("provider_id"),
-        F.col("Amount").alias("claim_amount"),
-        F.col("ClaimDate").alias("claim_date"),
-        F.col("ServiceDate").alias("service_date"),
-        F.col("Status").alias("status"),
-        F.col("ICD10Codes").alias("icd10_codes"),
-        F.col("CPTCodes").alias("cpt_codes"),
-        F.col("ClaimType").alias("claim_type"),
-        F.col("SubmissionChannel").alias("submission_channel"),
-        F.col("Notes").alias("notes"),
-        F.col("OriginalIngestTimestamp").alias("original_ingest_timestamp"),
-        F.col("ingestion_timestamp"),
-        F.col("source_file"),
-        F.lit("batch").alias("source_type"),
-    )
+    return _canonical(batch, BATCH_CLAIM_FIELDS, {}, "batch")
 
 
 def standardize_stream_claims(stream: DataFrame) -> DataFrame:
-    """The event feed has no service date, type, channel or notes."""
-    return stream.select(
-        F.col("ClaimID").alias("claim_id"),
-        F.col("MemberID").alias("member_id"),
-        F.col("ProviderID").alias("provider_id"),
-        F.col("Amount").alias("claim_amount"),
-        F.col("ClaimDate").alias("claim_date"),
-        F.col("ClaimDate").alias("service_date"),
-        F.col("Status").alias("status"),
-        F.col("ICD10Codes").alias("icd10_codes"),
-        F.col("CPTCodes").alias("cpt_codes"),
-        F.lit(STREAM_CLAIM_TYPE).alias("claim_type"),
-        F.lit(STREAM_CHANNEL).alias("submission_channel"),
-        F.lit(None).cast("string").alias("notes"),
-        F.col("EventTimestamp").alias("original_ingest_timestamp"),
-        F.col("ingestion_timestamp"),
-        F.col("source_file"),
-        F.lit("streaming").alias("source_type"),
-    )
+    """The event feed has no service date (the claim date stands in), type,
+    channel or notes."""
+    constants = {"claim_type": F.lit(STREAM_CLAIM_TYPE), "submission_channel": F.lit(STREAM_CHANNEL),
+                 "notes": F.lit(None).cast("string")}
+    return _canonical(stream, STREAM_CLAIM_FIELDS, constants, "streaming")
 
 
 def union_claims(batch: DataFrame, stream: DataFrame | None = None) -> DataFrame:
@@ -189,6 +179,15 @@ def members_processed(members: DataFrame, as_of: str | _dt.date | None = None,
 
 # --- providers --------------------------------------------------------------
 
+# --- fixed values: published provider columns <- (exploded) source fields --
+PROVIDER_FIELDS = {
+    "provider_id": "ProviderID", "provider_name": "Name", "specialty": "specialty",
+    "address": "location.Address", "city": "location.City", "state": "location.State",
+    "is_active": "IsActive", "tin": "TIN", "last_verified": "LastVerified",
+    "ingestion_timestamp": "ingestion_timestamp",
+}
+# --- end of fixed values ------------------------------------------------------
+
 PROVIDER_RULES = {
     "valid_provider_id": "provider_id IS NOT NULL",
     "valid_provider_name": "provider_name IS NOT NULL",
@@ -205,18 +204,7 @@ def normalize_providers(providers: DataFrame) -> DataFrame:
     exploded = (providers
                 .withColumn("specialty", F.explode_outer("Specialties"))
                 .withColumn("location", F.explode_outer("Locations")))
-    flat = exploded.select(
-        F.col("ProviderID").alias("provider_id"),
-        F.col("Name").alias("provider_name"),
-        F.col("specialty"),
-        F.col("location.Address").alias("address"),
-        F.col("location.City").alias("city"),
-        F.col("location.State").alias("state"),
-        F.col("IsActive").alias("is_active"),
-        F.col("TIN").alias("tin"),
-        F.col("LastVerified").alias("last_verified"),
-        F.col("ingestion_timestamp"),
-    )
+    flat = exploded.select(*[F.col(src).alias(name) for name, src in PROVIDER_FIELDS.items()])
     return flat.withColumns({
         "state_standardized": R.trimmed_upper("state"),
         "specialty_standardized": R.trimmed("specialty"),
