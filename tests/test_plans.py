@@ -30,15 +30,61 @@ def test_enrichment_exchanges_claims_once_per_key(spark):
     providers = materialize(Q._providers_processed(spark, SF_SMALL), "plan-providers")
     with static_plans(spark):
         plan = gold.claims_enriched(claims, members, providers)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("SortMergeJoin") == 4
-    # claim rows: one exchange per join key (member_id, provider_id); members: 1;
-    # member stats: 1 (then co-partitioned with the join); provider summary: 2;
-    # provider stats with its distinct member count: 2
-    assert plan.count("Exchange hashpartitioning") == 8
+    # the per-key dimensions are stored first; what is left is one join per
+    # key, each reading two exchanges: claim rows + dimension on member_id,
+    # then on provider_id
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("Exchange hashpartitioning") == 4
     assert plan.count("Exchange hashpartitioning(member_id") == 2
+    assert plan.count("Exchange hashpartitioning(provider_id") == 2
     assert "SortAggregate" not in plan
 
 
+def test_hot_member_and_provider_are_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 120000  # a third of the claims belong to one member, a third to one provider
+        claims = spark.range(n).select(
+            F.concat(F.lit("c"), F.col("id")).alias("claim_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("m"), F.col("id") % 3000)).alias("member_id"),
+            F.when(F.col("id") % 3 == 1, F.lit("PHOT")).otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("provider_id"),
+            (F.col("id") % 1000 + 1).cast("decimal(10,2)").alias("claim_amount"),
+            F.lit("2000-01-02").cast("date").alias("claim_date"),
+            F.lit("2000-01-01").cast("date").alias("service_date"),
+            F.lit(1).alias("days_to_claim")).repartition(8)
+        members = spark.range(3000).select(
+            F.concat(F.lit("m"), F.col("id")).alias("MemberID"), F.lit(30).cast("long").alias("age"),
+            F.lit(True).alias("is_active_member"), F.lit("F").alias("Gender"), F.lit("R").alias("Region"),
+            F.lit("P").alias("PlanType"), F.lit(True).alias("has_complete_profile"))
+        providers = spark.range(500).select(
+            F.concat(F.lit("p"), F.col("id")).alias("provider_id"), F.lit("n").alias("provider_name"),
+            F.lit(True).alias("is_active"), F.lit("s").alias("specialty"), F.lit("a").alias("address"),
+            F.lit("2000-01-01").cast("date").alias("last_verified"))
+        df = gold.claims_enriched(claims, members, providers)
+        qe = df._jdf.queryExecution()
+        assert qe.toRdd().count() == n
+        final = qe.executedPlan().toString()
+        assert final.count("SortMergeJoin(skew=true)") == 2
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def test_rollups_use_hash_aggregation(spark):
     analytics = materialize(Q._analytics(spark, SF_SMALL), "plan-analytics")
     for df in (gold.member_risk_profile(analytics), gold.provider_metrics(analytics),
