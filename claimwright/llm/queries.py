@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwright.llm import chat, exact_dedup, sharding
+from claimwright.llm import chat, decontaminate, exact_dedup, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    found = decontaminate.decontaminate(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.simhash_dedup(_table(spark, d, "documents"), shingle=3, max_distance=2)
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, d, "documents"))
 
@@ -39,12 +49,33 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_simhash": op2_simhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(w[s:s + 12], ' ') AS g
+                FROM i, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(s) WHERE len(w) > 0),
+        dw AS (SELECT doc_id, s, k, array_to_string(w[s:s + k - 1], ' ') AS g
+               FROM d, (SELECT DISTINCT k FROM win) AS ks, unnest(range(1, len(w) - k + 2)) AS t(s)),
+        hit AS (SELECT doc_id, s, k, item_id FROM dw JOIN win USING (k, g)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                  FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM (SELECT DISTINCT doc_id, s, k FROM hit))
+                  GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op5_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
