@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimwright.llm import chat, decontaminate, exact_dedup, sharding, simhash
+from claimwright.llm import (
+    chat, decontaminate, exact_dedup, sentencepiece_bpe, sharding, simhash, token_counts,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, as installed on driver and executors."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -24,10 +32,21 @@ def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_dedup(_table(spark, d, "documents"), shingle=3, max_distance=2)
 
 
+def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    coded = sentencepiece_bpe.encode_decode(_table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, d, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
+
+
 def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, d, "documents"), shards=24)
 
@@ -51,7 +70,9 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_counts": op6_token_counts,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
 }
