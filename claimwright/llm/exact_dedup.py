@@ -110,8 +110,10 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", block_
     """
     named = stored(identify(docs, key, text, block_chars), "identities")
     best = F.max(F.struct(F.col(key).alias("k"), F.col("__row").alias("r")))
-    groups = named.groupBy(F.col("__n").alias("__gn"), F.col("__name").alias("__gname")).agg(
-        best.alias("__best"), F.count(F.lit(1)).alias("group_size"))
+    # Stored, so that both sides of the join are shuffled for it and a large
+    # group's partition can be split.
+    groups = stored(named.groupBy(F.col("__n").alias("__gn"), F.col("__name").alias("__gname")).agg(
+        best.alias("__best"), F.count(F.lit(1)).alias("group_size")), "groups")
     out = named.join(groups, (named["__n"] == groups["__gn"]) & (named["__name"] == groups["__gname"]), "inner")
     return out.select(key, F.col("__best.k").alias("keep_id"), "group_size",
                       (F.col("__row") == F.col("__best.r")).alias("kept"), "text_sha256")
