@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.llm import (
-    chat, decontaminate, exact_dedup, sentencepiece_bpe, sharding, simhash, token_counts,
+    chat, decontaminate, exact_dedup, sentencepiece_bpe, sharding, simhash,
+    substring_dedup, token_counts,
 )
 
 
@@ -39,6 +40,10 @@ def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.substring_dedup(_table(spark, d, "documents"), window=50)
+
+
 def op5_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, d, "documents"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op9_sharding": op9_sharding,
@@ -97,6 +103,19 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op4_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        win AS (SELECT doc_id, s, md5_number(array_to_string(w[s:s + 49], ' ')) AS g
+                FROM d, unnest(range(1, len(w) - 48)) AS t(s)),
+        low AS (SELECT g, min(doc_id) AS lo FROM win GROUP BY g HAVING min(doc_id) < max(doc_id)),
+        gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(s, s + 50)) AS p
+                 FROM win JOIN low USING (g) WHERE doc_id > lo)),
+        word AS (SELECT doc_id, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+        kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS k, count(*) AS n
+                 FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(k, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)""",
     "op5_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
