@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.llm import (
-    chat, decontaminate, exact_dedup, sentencepiece_bpe, sharding, simhash,
+    chat, decontaminate, exact_dedup, quality, sentencepiece_bpe, sharding, simhash,
     substring_dedup, token_counts,
 )
 
@@ -52,6 +52,13 @@ def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op8_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    model, vectors = quality.train(docs, _table(spark, d, "labels"), folds=5, fold=0)
+    return (quality.classify(docs, model, vectors, threshold=0.3)
+            .select("doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted"))
+
+
 def op9_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, d, "documents"), shards=24)
 
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
 }
