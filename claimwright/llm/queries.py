@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.llm import (
-    chat, decontaminate, exact_dedup, quality, sentencepiece_bpe, sharding, simhash,
+    chat, decontaminate, exact_dedup, gru_lm, quality, sentencepiece_bpe, sharding, simhash,
     substring_dedup, token_counts,
 )
 
@@ -52,6 +52,10 @@ def op6_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op7_lm_score(spark: SparkSession, d: str) -> DataFrame:
+    return gru_lm.lm_scores(_table(spark, d, "documents"), folds=7, fold=2)
+
+
 def op8_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = _table(spark, d, "documents")
     model, vectors = quality.train(docs, _table(spark, d, "labels"), folds=5, fold=0)
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_lm_score": op7_lm_score,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
