@@ -6,12 +6,12 @@ paired, and equal pairs get one name again, until one name is left per
 document.  Two texts of as many blocks are equal exactly when their last names
 are: no hash decides, so there are no collisions.
 
-*Block names.*  Distinct blocks are found by an aggregate (copies meet map-side
-first), sorted by content within their partitions and numbered.  To carry the
-names back, occurrences would have to be joined on whole blocks; instead both
-sides carry the block's 64-bit hash, and the name table notes hashes that
-several distinct blocks share.  Only occurrences of those few are joined on
-content.  So each text is shuffled once.
+*Block names.*  Distinct blocks are found by an aggregate on their content
+(copies meet map-side first), sorted by content within their partitions and
+numbered.  To carry the names back, occurrences would have to be joined on
+whole blocks; instead both sides carry a 128-bit key of the block, and the
+names are first checked to have one block per key (else the keys are drawn
+anew).  So each text is shuffled once, and the names rest on the content alone.
 
 *Pair names.*  The same on pairs of integers: distinct pairs, sorted, numbered,
 joined back.  The rows halve with every level; the number of levels is the
@@ -53,20 +53,19 @@ def _blocks(texts: DataFrame, block_chars: int) -> DataFrame:
 
 def _name_blocks(blocks: DataFrame) -> DataFrame:
     """``blocks`` with ``__name`` in place of ``__block``."""
-    blocks = blocks.withColumn("__hash", F.xxhash64("__block"))
-    names = stored(_named(blocks.select("__hash", "__block"), ["__hash", "__block"]), "block-names")
-    by_hash = names.groupBy("__hash").agg(F.min("__name").alias("__name"), F.count(F.lit(1)).alias("__blocks"))
-    plain = by_hash.filter("__blocks = 1").select(F.col("__hash").alias("__h"), "__name")
-    shared = by_hash.filter("__blocks > 1").select(F.col("__hash").alias("__h"))
-    thin = blocks.drop("__block")
-    named = thin.join(plain, thin["__hash"] == plain["__h"], "inner").drop("__h", "__hash")
-    if shared.isEmpty():
-        return named
-    # Hashes of several blocks: joined on the blocks themselves.
-    rare = names.join(shared, names["__hash"] == shared["__h"], "left_semi").select(
-        F.col("__hash").alias("__h"), F.col("__block").alias("__b"), "__name")
-    exact = blocks.join(rare, (blocks["__hash"] == rare["__h"]) & (blocks["__block"] == rare["__b"]), "inner")
-    return named.unionByName(exact.drop("__h", "__b", "__hash", "__block"))
+    salt = 0
+    while True:
+        h1, h2 = F.xxhash64("__block"), F.xxhash64(F.lit(salt), "__block")
+        keyed = blocks.withColumns({"__h1": h1, "__h2": h2})
+        names = _named(keyed.select("__h1", "__h2", "__block"), ["__h1", "__h2", "__block"])
+        names = stored(names.select("__h1", "__h2", "__name"), "block-names")
+        if names.groupBy("__h1", "__h2").count().filter("count > 1").isEmpty():
+            break
+        salt += 1  # different blocks share a key: other keys
+    names = names.select(F.col("__h1").alias("__k1"), F.col("__h2").alias("__k2"), "__name")
+    thin = keyed.drop("__block")
+    same = (thin["__h1"] == names["__k1"]) & (thin["__h2"] == names["__k2"])
+    return thin.join(names, same, "inner").drop("__h1", "__h2", "__k1", "__k2")
 
 
 def _halved(level: DataFrame) -> DataFrame:

@@ -33,13 +33,17 @@ def op2_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_dedup(_table(spark, d, "documents"), shingle=3, max_distance=2)
 
 
-def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
-    coded = sentencepiece_bpe.encode_decode(_table(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
+def coded_digests(docs: DataFrame) -> DataFrame:
+    coded = sentencepiece_bpe.encode_decode(docs, vocabulary("piece_bpe_32k.model"))
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return coded_digests(_table(spark, d, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.substring_dedup(_table(spark, d, "documents"), window=50)
 
