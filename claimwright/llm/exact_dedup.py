@@ -43,12 +43,14 @@ def _named(keys: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _blocks(texts: DataFrame, block_chars: int) -> DataFrame:
-    """One row per block: the text's columns, ``__pos``, ``__n`` (blocks), ``__block``."""
-    count = F.greatest(F.lit(1), F.ceil(F.length("__text") / F.lit(block_chars)))
-    starts = F.sequence(F.lit(0), (F.col("__n") - 1).cast("int"))
-    cut = F.substring("__text", F.col("__pos") * block_chars + 1, F.lit(block_chars))
-    return (texts.withColumn("__n", count.cast("int")).withColumn("__pos", F.explode(starts))
-            .withColumn("__block", cut).drop("__text"))
+    """One row per block: the text's columns, ``__pos``, ``__n`` (blocks), ``__block``.
+
+    Cut in one pass over the text; the empty text is one empty block.
+    """
+    cut = F.regexp_extract_all("__text", F.lit("(?s).{1,%d}" % block_chars), F.lit(0))
+    cut = F.when(F.col("__text") == "", F.array(F.lit(""))).otherwise(cut)
+    cuts = texts.withColumn("__blocks", cut).drop("__text").withColumn("__n", F.size("__blocks"))
+    return cuts.select("*", F.posexplode("__blocks").alias("__pos", "__block")).drop("__blocks")
 
 
 def _name_blocks(blocks: DataFrame) -> DataFrame:
