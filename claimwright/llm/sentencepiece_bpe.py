@@ -2,7 +2,7 @@
 
 *Encoding* (:class:`MergeEncoder`).  The text is prepared as the vocabulary's
 normaliser does it (a space in front, spaces become U+2581) and cut into
-characters.  An agenda (a heap) holds every adjacent pair of symbols whose
+characters.  An agenda (a heap; a list for short words) holds every adjacent pair of symbols whose
 concatenation is a piece, the highest score first, then the leftmost.  The best
 pair is merged and its new neighbours are put on the agenda; entries whose
 symbols have changed meanwhile are skipped.  What is left is looked up; unknown
@@ -34,7 +34,8 @@ result.  Only the named columns are read.
 from __future__ import annotations
 
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
+from operator import concat
 
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -44,7 +45,10 @@ from claimwright.llm.common import map_texts
 
 SPACE = "▁"
 #: Words whose ids a worker remembers (twice as many for a moment), and the longest one.
-MEMORY_WORDS, MEMORY_CHARS = 250_000, 48
+MEMORY_WORDS, MEMORY_CHARS = 400_000, 48
+#: Longest word whose agenda is a list.
+SHORT = 32
+NEVER = float("inf")
 
 
 class Memory(dict):
@@ -102,37 +106,48 @@ class MergeEncoder:
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word, by the agenda of adjacent pairs."""
-        ids, cost = self.ids, self.cost
-        n = len(word)
-        symbols: list[str] = list(word)
+        symbols = self._merged_short(word) if len(word) <= SHORT else self._merged(word)
+        try:
+            return list(map(self.ids.__getitem__, symbols))
+        except KeyError:  # characters that are no pieces
+            return [i for s in symbols for i in ([self.ids[s]] if s in self.ids else map(self.bytes.__getitem__, s.encode()))]
+
+    def _merged_short(self, word: str) -> list[str]:
+        """The agenda as a list, one entry for each pair in place: the first of the best entries is next."""
+        get, symbols = self.cost.get, list(word)
+        agenda = list(map(get, map(concat, symbols, symbols[1:]), repeat(NEVER)))
+        while agenda and (best := min(agenda)) < NEVER:
+            i = agenda.index(best)
+            del agenda[i]
+            symbols[i] += symbols.pop(i + 1)
+            if i:
+                agenda[i - 1] = get(symbols[i - 1] + symbols[i], NEVER)
+            if i < len(agenda):
+                agenda[i] = get(symbols[i] + symbols[i + 1], NEVER)
+        return symbols
+
+    def _merged(self, word: str) -> list[str]:
+        """The agenda as a heap of (cost, place, pair); entries out of date are skipped."""
+        cost, n, symbols = self.cost, len(word), list(word)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda = [(cost[pair], i, pair) for i in range(n - 1) if (pair := word[i:i + 2]) in cost]
-        if agenda:
-            left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-            heapify(agenda)
-            while agenda:
-                _, i, pair = heappop(agenda)
-                j = right[i]
-                # Merged away, or a neighbour has grown: the entry is out of date.
-                if j >= n or symbols[i] + symbols[j] != pair or not symbols[i] or not symbols[j]:
-                    continue
-                symbols[i], symbols[j] = pair, ""
-                right[i] = k = right[j]
-                if k < n:
-                    left[k] = i
-                    if (longer := pair + symbols[k]) in cost:
-                        heappush(agenda, (cost[longer], i, longer))
-                h = left[i]
-                if h >= 0 and (longer := symbols[h] + pair) in cost:
-                    heappush(agenda, (cost[longer], h, longer))
-        out = []
-        for s in symbols:
-            if s:
-                known = ids.get(s)
-                if known is None:
-                    out += [self.bytes[b] for b in s.encode()]
-                else:
-                    out.append(known)
-        return out
+        heapify(agenda)
+        while agenda:
+            _, i, pair = heappop(agenda)
+            j = right[i]
+            # Merged away, or a neighbour has grown.
+            if j >= n or not symbols[i] or symbols[i] + symbols[j] != pair:
+                continue
+            symbols[i], symbols[j] = pair, ""
+            right[i] = k = right[j]
+            if k < n:
+                left[k] = i
+                if (longer := pair + symbols[k]) in cost:
+                    heappush(agenda, (cost[longer], i, longer))
+            h = left[i]
+            if h >= 0 and (longer := symbols[h] + pair) in cost:
+                heappush(agenda, (cost[longer], h, longer))
+        return [s for s in symbols if s]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text with the end id."""
