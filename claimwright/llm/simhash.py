@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from functools import partial
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import xxhash
@@ -49,6 +50,8 @@ BITS = 64
 SEED = 42
 #: Codes under one segment value above which the value counts as a crowd.
 CROWD = 64
+#: Largest ball by which crowds are linked (distances up to 4; beyond it they are matched pair by pair).
+MOST_STARS = 5000
 #: Shingle hashes whose bits are counted at once.
 BLOCK = 1 << 16
 
@@ -119,16 +122,24 @@ def hamming_links(codes: DataFrame, code: str, max_distance: int, segments: int
         for i, mask, ball in parts for flip in ball])).alias("p"))
     probes = probes.select("code", "p.seg", c.bitwiseXOR(F.col("p.flip")).bitwiseAND(F.col("p.mask")).alias("value"))
 
+    if crowd is None or comb(BITS, (max_distance + 1) // 2) > MOST_STARS:
+        thin = table.select("seg", "value", F.col("code").alias("other"))
+        return _matches(probes, thin, max_distance)
     crowds = stored(table.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd)
                     .select("seg", "value"), "crowds")
     thin = table.join(crowds, ["seg", "value"], "left_anti").select("seg", "value", F.col("code").alias("other"))
-    links = (probes.join(thin, ["seg", "value"], "inner")
-             .filter((F.col("code") < F.col("other")) & (_distance(c, F.col("other")) <= max_distance))
-             .select(F.col("code").alias("a"), F.col("other").alias("b")))
+    links = _matches(probes, thin, max_distance)
     crowded = probes.join(crowds, ["seg", "value"], "left_semi").select("code").distinct()
     return links.unionByName(_crowd_links(crowded, max_distance))
 
 
+def _matches(probes: DataFrame, table: DataFrame, max_distance: int) -> DataFrame:
+    """Codes stored under looked-up segment values, verified on the whole code."""
+    near = _distance(F.col("code"), F.col("other")) <= max_distance
+    return (probes.join(table, ["seg", "value"], "inner").filter((F.col("code") < F.col("other")) & near)
+            .select(F.col("code").alias("a"), F.col("other").alias("b")))
+
+
 def _crowd_links(codes: DataFrame, max_distance: int) -> DataFrame:
     near, far = max_distance // 2, (max_distance + 1) // 2
     masks = _ball(range(BITS), far)
