@@ -36,6 +36,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -286,25 +287,28 @@ def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
 
 # --- Spark -------------------------------------------------------------------
 
-def _encode(docs: DataFrame, key: str, text: str, folds: int, fold: int, frequent: dict[bytes, tuple[int, int]], shared) -> DataFrame:
-    """Per row: symbols (int16 bytes), token counts by kind, and the rarer tokens by their bytes."""
+def _encode(docs: DataFrame, key: str, text: str, folds: int, fold: int, n_symbols: int, shared) -> DataFrame:
+    """Per row: symbols (int16 bytes), token counts by kind, and the rarer tokens by their bytes.
+
+    ``shared`` holds the number of each frequent token, most frequent first,
+    and log10(c + 1) by number.
+    """
     prepare(docs.sparkSession)
-    other = min(SYMBOLS, len(frequent))
 
     def make():
-        table = shared.value
-        get = table.get
+        numbers, logs = shared.value
+        logs = np.append(logs, 0.0)  # rarer tokens: their counts are joined
 
         def fn(texts: list[bytes]) -> list[list]:
             out: list[list] = [[], [], [], [], [], []]
             for t in texts:
                 words = tokens(t)
-                found = [get(w) for w in words]
-                symbols = np.array([other if f is None or f[0] >= other else f[0] for f in found], dtype="<i2")
-                known = [f[1] + 1 for f in found if f is not None]
-                others = [f[1] + 1 for f in found if f is not None and f[0] >= other]
-                row = (symbols.tobytes(), len(words), len(known), float(np.log10(known).sum()) if known else 0.0,
-                       float(np.log10(others).sum()) if others else 0.0, [w for w, f in zip(words, found) if f is None])
+                n = np.fromiter(map(numbers.get, words, repeat(len(numbers))), dtype=np.int32, count=len(words))
+                log, is_rare = logs[n], n == len(numbers)
+                others = np.minimum(n, n_symbols)
+                rare = [words[i] for i in np.flatnonzero(is_rare).tolist()]
+                row = (others.astype("<i2").tobytes(), len(words), len(words) - len(rare), float(log.sum()),
+                       float(log[others == n_symbols].sum()), rare)
                 for column, value in zip(out, row):
                     column.append(value)
             return out
@@ -362,12 +366,12 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: i
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     least = _least_frequent(counts)
     top = sorted(counts.filter(F.col("c") >= least).collect(), key=lambda r: (-r.c, bytes(r.token)))
-    frequent = {bytes(r.token): (i, r.c) for i, r in enumerate(top)}
-    shared = spark.sparkContext.broadcast(frequent)
+    numbers = {bytes(r.token): i for i, r in enumerate(top)}
+    shared = spark.sparkContext.broadcast((numbers, np.log10(np.array([r.c for r in top], dtype=np.float64) + 1)))
     n_symbols = min(SYMBOLS, len(top))
     symbol_counts = np.array([r.c for r in top[:n_symbols]] + [total - sum(r.c for r in top[:n_symbols])], dtype=np.float64)
 
-    rows = _encode(docs, key, text, folds, fold, frequent, shared).withColumn("__row", F.monotonically_increasing_id())
+    rows = _encode(docs, key, text, folds, fold, n_symbols, shared).withColumn("__row", F.monotonically_increasing_id())
     rows = stored(rows, "lm-rows")
     net = GRU(symbol_counts)
     for r in range(rounds):
