@@ -77,7 +77,7 @@ SELECT
   CASE WHEN l_partkey % 97 = 0 THEN NULL
        ELSE CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS ClaimID,
   CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE 'M' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') END AS MemberID,
-  {_PID} AS ProviderID,
+  CASE WHEN l_partkey % 10 = 7 THEN 'U' || CAST(l_suppkey AS VARCHAR) ELSE {_PID} END AS ProviderID,
   CAST(l_shipdate AS DATE) + CAST(CASE
       WHEN l_suppkey % 5 = 4 AND l_partkey % 5 = 0 THEN 400
       WHEN l_suppkey % 5 = 4 AND l_partkey % 5 = 1 THEN -5
@@ -139,12 +139,11 @@ FROM (SELECT *, 0 AS v FROM mbase UNION ALL SELECT *, 1 AS v FROM mbase WHERE c_
 
 _cte("pids", (), f"""
 SELECT DISTINCT {_PID} AS ProviderID, l_suppkey
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+FROM lineitem""")
 
 _cte("pbase", ("pids",), """
 SELECT p.ProviderID, s.s_suppkey, s.s_name, s.s_acctbal, n.n_name
-FROM pids p JOIN supplier s ON p.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey
-WHERE p.ProviderID IS NOT NULL AND p.l_suppkey % 10 <> 7""")
+FROM pids p JOIN supplier s ON p.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey""")
 
 _LOC = "STRUCT(Address VARCHAR, City VARCHAR, State VARCHAR)"
 _cte("pb", ("pbase",), f"""

@@ -1,10 +1,12 @@
 """Silver layer: canonical, cleaned, de-duplicated tables.
 
 Every function takes bronze DataFrames and returns a lazy DataFrame; the
-pipeline decides whether to materialise it.  Order of operations follows
-the published semantics: derive columns, keep the newest row per key, then
-apply the expectations to what survives (an invalid newest row removes the
-key; an older valid row does not take its place).
+pipeline decides whether to materialise it.  The newest row per key is kept
+first and columns are derived from the rows that stay: the derived columns
+depend on their own row alone, so the result is the published one, and only
+canonical columns go through the shuffle.  The expectations apply to what
+survives (an invalid newest row removes the key; an older valid row does not
+take its place).
 """
 
 from __future__ import annotations
@@ -142,12 +144,13 @@ def dedup_claims(claims: DataFrame) -> DataFrame:
 
 def claims_processed(batch: DataFrame, stream: DataFrame | None = None,
                      as_of: str | _dt.date | None = None) -> DataFrame:
-    flagged = add_claim_flags(union_claims(batch, stream))
-    return expect_all_or_drop(dedup_claims(flagged), claims_rules(as_of))
+    newest = dedup_claims(union_claims(batch, stream))
+    return expect_all_or_drop(add_claim_flags(newest), claims_rules(as_of))
 
 
 # --- members ----------------------------------------------------------------
 
+# fixed values: published rule names and conditions
 MEMBER_RULES = {
     "valid_member_id": "MemberID IS NOT NULL",
     "member_id_length": "length(MemberID) >= 5",
@@ -173,7 +176,7 @@ def dedup_members(members: DataFrame) -> DataFrame:
 def members_processed(members: DataFrame, as_of: str | _dt.date | None = None,
                       strict_mask: bool = False, drop_columns: tuple[str, ...] = ()) -> DataFrame:
     """Masked, de-duplicated members.  ``drop_columns`` can remove raw PII."""
-    out = expect_all_or_drop(dedup_members(add_member_fields(members, as_of, strict_mask)), MEMBER_RULES)
+    out = expect_all_or_drop(add_member_fields(dedup_members(members), as_of, strict_mask), MEMBER_RULES)
     return out.drop(*drop_columns) if drop_columns else out
 
 
@@ -188,6 +191,7 @@ PROVIDER_FIELDS = {
 }
 # --- end of fixed values ------------------------------------------------------
 
+# fixed values: published rule names and conditions
 PROVIDER_RULES = {
     "valid_provider_id": "provider_id IS NOT NULL",
     "valid_provider_name": "provider_name IS NOT NULL",
@@ -219,6 +223,7 @@ def providers_processed(providers: DataFrame) -> DataFrame:
 
 # --- diagnosis codes --------------------------------------------------------
 
+# fixed values: published rule names and conditions
 DIAGNOSIS_RULES = {
     "valid_diagnosis_code": "Code IS NOT NULL",
     "valid_diagnosis_description": "Description IS NOT NULL",
@@ -243,4 +248,4 @@ def dedup_diagnosis(codes: DataFrame) -> DataFrame:
 
 
 def diagnosis_processed(codes: DataFrame) -> DataFrame:
-    return expect_all_or_drop(dedup_diagnosis(add_diagnosis_fields(codes)), DIAGNOSIS_RULES)
+    return expect_all_or_drop(add_diagnosis_fields(dedup_diagnosis(codes)), DIAGNOSIS_RULES)

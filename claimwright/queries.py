@@ -112,9 +112,9 @@ def _analytics(spark: SparkSession, d: str) -> DataFrame:
 
 # --- ingestion (files written by Spark from the test tables, then read back) ---
 
-def _stage(spark: SparkSession, d: str, source: str, num_files: int = 4) -> str:
-    path = scratch_path(spark, f"stage-{source}")
-    return write_raw(TD.raw(spark, d, source), source, path, num_files)
+def _stage(spark: SparkSession, d: str, source: str) -> str:
+    """Raw files of ``source``, as many as the derived rows have partitions."""
+    return write_raw(TD.raw(spark, d, source), source, scratch_path(spark, f"stage-{source}"))
 
 
 def _ingest_stream(spark: SparkSession, d: str, source: str) -> DataFrame:
@@ -177,7 +177,7 @@ def q_claims_rules(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_claims_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return comparable(silver.dedup_claims(silver.add_claim_flags(_claims_union(spark, d))))
+    return comparable(silver.add_claim_flags(silver.dedup_claims(_claims_union(spark, d))))
 
 
 def q_claims_processed(spark: SparkSession, d: str) -> DataFrame:
@@ -185,8 +185,8 @@ def q_claims_processed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_members_dedup(spark: SparkSession, d: str) -> DataFrame:
-    m = silver.add_member_fields(_bronze(spark, d, "members"), AS_OF)
-    return comparable(silver.dedup_members(m), CLOCK_COLUMNS + LOAD_TIME)
+    m = silver.dedup_members(_bronze(spark, d, "members"))
+    return comparable(silver.add_member_fields(m, AS_OF), CLOCK_COLUMNS + LOAD_TIME)
 
 
 def q_members_processed(spark: SparkSession, d: str) -> DataFrame:
@@ -221,10 +221,10 @@ def q_diagnosis_processed(spark: SparkSession, d: str) -> DataFrame:
 
 def q_expectation_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Per-rule failure counts of the four silver datasets (before dropping)."""
-    claims = silver.dedup_claims(silver.add_claim_flags(_claims_union(spark, d)))
-    members = silver.dedup_members(silver.add_member_fields(_bronze(spark, d, "members"), AS_OF))
+    claims = silver.add_claim_flags(silver.dedup_claims(_claims_union(spark, d)))
+    members = silver.add_member_fields(silver.dedup_members(_bronze(spark, d, "members")), AS_OF)
     providers = silver.normalize_providers(silver.dedup_providers(_bronze(spark, d, "providers")))
-    codes = silver.dedup_diagnosis(silver.add_diagnosis_fields(_bronze(spark, d, "diagnosis_reference")))
+    codes = silver.add_diagnosis_fields(silver.dedup_diagnosis(_bronze(spark, d, "diagnosis_reference")))
     parts = [
         expectation_metrics(claims, silver.claims_rules(AS_OF), "claims_processed"),
         expectation_metrics(members, silver.MEMBER_RULES, "members_processed"),

@@ -2,14 +2,18 @@
 
 Everything that has to be written somewhere (staged source files, stream
 checkpoints, materialised tables) goes under the folder the cluster names in
-``spark.checkpoint.dir``.  Only when that setting is missing (unit tests on a
-bare local session) do we create and register one of our own.
+``spark.checkpoint.dir``.  Only when that setting is missing on a local master
+(unit tests) do we create and register one of our own.  Intermediate tables
+live in one folder per application; :func:`scratch_scope` and
+:func:`release_scratch` remove them.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -48,7 +52,11 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, registering one only if unset."""
+    """Return the shared checkpoint folder, registering one only on a local master.
+
+    On a cluster every executor would write to its own disk, so there the
+    setting must name a shared folder.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -60,14 +68,54 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
-        # Only reached on a bare session (tests): the cluster setting wins
-        # whenever it exists.
+        if not is_local(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all of {sc.master} shares")
         configured = tempfile.mkdtemp(prefix="claimwright-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint folder."""
+def is_local(master: str) -> bool:
+    """One process runs driver and tasks: ``local``, ``local[4]``, ``local[*]``."""
+    return master == "local" or master.startswith("local[")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/claimwright/{name}-{uuid.uuid4().hex[:12]}"
+    run = spark.conf.get("spark.app.id", None) or "run"
+    return f"{base}/claimwright/{run}{_SCOPES[-1] if _SCOPES else ''}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, never-reused folder under the application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """What is stored inside the block lies in one folder, removed at its end.
+
+    DataFrames made inside read those tables, so collect or write their rows
+    before the block ends.
+    """
+    _SCOPES.append(f"{_SCOPES[-1] if _SCOPES else ''}/scope-{uuid.uuid4().hex[:12]}")
+    root = scratch_root(spark)
+    try:
+        yield root
+    finally:
+        _SCOPES.pop()
+        _remove(spark, root)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application (at its end)."""
+    _remove(spark, scratch_root(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

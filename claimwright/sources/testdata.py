@@ -25,35 +25,19 @@ from claimwright.sources.schemas import DATE_FORMAT, TIMESTAMP_FORMAT
 AS_OF = "2000-06-01"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """Read one driver table.
-
-    ``spread_by`` is for the large (fact) tables: when the scan yields fewer
-    splits than the cluster has cores -- e.g. one file with a single row
-    group -- the rows are hash-partitioned on that key so the per-row role
-    projection runs on every core (hash, not round-robin: a retried task
-    gets the same rows without the sort round-robin needs).  A scan of many
-    files is left as is.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread_by:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # remote (Connect) session: leave the scan as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores, spread_by)
-    return df
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- fixed values: role-binding expressions (FIXTURES.md section 2) ----------
+# the provider a claim line belongs to; one claim in ten names an unknown one
+_KNOWN_PROVIDER = ("CASE l_suppkey % 3 WHEN 0 THEN 'P' || l_suppkey "
+                   "WHEN 1 THEN 'P' || l_suppkey || '-' || l_linenumber "
+                   "ELSE 'P' || l_suppkey || '-x' || (l_partkey % 40) END")
 _CLAIMS_BATCH = {
     "ClaimID": "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_orderkey || '-' || l_linenumber END",
     "MemberID": "CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE 'M' || lpad(CAST(o_custkey AS STRING), 6, '0') END",
-    "ProviderID": ("CASE l_suppkey % 3 WHEN 0 THEN 'P' || l_suppkey "
-                   "WHEN 1 THEN 'P' || l_suppkey || '-' || l_linenumber "
-                   "ELSE 'P' || l_suppkey || '-x' || (l_partkey % 40) END"),
+    "ProviderID": f"CASE WHEN l_partkey % 10 = 7 THEN 'U' || l_suppkey ELSE {_KNOWN_PROVIDER} END",
     "ClaimDate": ("CAST(l_shipdate AS DATE) + CAST(CASE "
                   "WHEN l_suppkey % 5 = 4 AND l_partkey % 5 = 0 THEN 400 "
                   "WHEN l_suppkey % 5 = 4 AND l_partkey % 5 = 1 THEN -5 "
@@ -124,8 +108,7 @@ _PROVIDERS = {
     "TIN": "lpad(CAST(s_suppkey AS STRING), 9, '0')",
     "LastVerified": "date_add(DATE '1999-01-01', CAST(s_suppkey % 365 - 400 * v AS INT))",
 }
-# providers: suppliers whose claims find no provider row, and the older copy
-_PROVIDERS_KEEP = "l_suppkey % 10 <> 7"
+# providers: the older copy
 _PROVIDERS_DUPLICATE = "s_suppkey % 4 = 1"
 
 _DIAGNOSIS = {
@@ -150,7 +133,7 @@ def _two_copies(df: DataFrame, keep_second: str) -> DataFrame:
 
 
 def _lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem", spread_by="l_orderkey")
+    li = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
 
@@ -160,7 +143,7 @@ def claims_batch_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claims_stream_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _project(_table(spark, sf_dir, "events", spread_by="event_id"), _CLAIMS_STREAM)
+    return _project(_table(spark, sf_dir, "events"), _CLAIMS_STREAM)
 
 
 def members_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,11 +156,9 @@ def members_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def providers_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    claims = _lineitem_orders(spark, sf_dir).select(
-        F.expr(_CLAIMS_BATCH["ProviderID"]).alias("ProviderID"), "l_suppkey")
-    ids = (claims.filter(F.col("ProviderID").isNotNull())
-                 .filter(F.expr(_PROVIDERS_KEEP))
-                 .distinct())
+    # Every line has an order (tests/test_rules.py checks the key), so lineitem alone will do.
+    lines = _table(spark, sf_dir, "lineitem")
+    ids = lines.select(F.expr(_KNOWN_PROVIDER).alias("ProviderID"), "l_suppkey").distinct()
     s = _table(spark, sf_dir, "supplier")
     n = _table(spark, sf_dir, "nation")
     base = (ids.join(s, ids.l_suppkey == s.s_suppkey, "inner")

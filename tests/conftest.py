@@ -16,7 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    from claimwright.session import DEFAULT_CONF, ensure_checkpoint_dir
+    from claimwright.session import DEFAULT_CONF, ensure_checkpoint_dir, release_scratch
 
     builder = SparkSession.builder.master("local[*]").appName("claimwright-tests")
     for key, value in DEFAULT_CONF.items():
@@ -29,3 +29,4 @@ def spark():
         session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="claimwright-test-ckpt-"))
     ensure_checkpoint_dir(session)
     yield session
+    release_scratch(session)
