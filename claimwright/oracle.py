@@ -585,20 +585,41 @@ FROM mrp""", "mrp")
 SELECT claim_id, provider_id, CAST(claim_amount AS DOUBLE) AS claim_amount,
        CAST(row_number() OVER (ORDER BY claim_amount DESC NULLS LAST, claim_id ASC NULLS FIRST) AS BIGINT) AS amount_rank
 FROM cp""", "cp")
-    q["medallion_end_to_end"] = _with("""
-SELECT 'claims_batch' AS dataset, count(*) AS row_count FROM cb
-UNION ALL SELECT 'claims_stream', count(*) FROM cs
-UNION ALL SELECT 'members', count(*) FROM mb
-UNION ALL SELECT 'providers', count(*) FROM pb
-UNION ALL SELECT 'diagnosis_reference', count(*) FROM db
-UNION ALL SELECT 'claims_processed', count(*) FROM cp
-UNION ALL SELECT 'members_processed', count(*) FROM mp
-UNION ALL SELECT 'providers_processed', count(*) FROM pp
-UNION ALL SELECT 'diagnosis_reference_processed', count(*) FROM dp
-UNION ALL SELECT 'data_quality_summary', 3
-UNION ALL SELECT 'claims_analytics', count(*) FROM ca
-UNION ALL SELECT 'claims_summary', count(*) FROM mcs
-UNION ALL SELECT 'provider_performance', count(*) FROM pperf
-UNION ALL SELECT 'member_risk_profile', count(*) FROM mrp""",
-        "cb", "cs", "mb", "pb", "db", "cp", "mp", "pp", "dp", "ca", "mcs", "pperf", "mrp")
+    datasets = [  # name, rows, content figure, tier
+        ("claims_batch", "cb", "sum(Amount)", "bronze"),
+        ("claims_stream", "cs", "sum(Amount)", "bronze"),
+        ("members", "mb", "sum(IsActive)", "bronze"),
+        ("providers", "pb", "sum(len(Locations))", "bronze"),
+        ("diagnosis_reference", "db", "sum(length(Code))", "bronze"),
+        ("claims_processed", "cp", "sum(claim_amount)", "silver"),
+        ("members_processed", "mp", "sum(age)", "silver"),
+        ("providers_processed", "pp", "count(specialty)", "silver"),
+        ("diagnosis_reference_processed", "dp", "sum(length(code_standardized))", "silver"),
+        ("data_quality_summary", f"({_dq_summary()})", "sum(valid_records)", None),
+        ("claims_analytics", "ca", "sum(fraud_risk_score)", "gold"),
+        ("claims_summary", "mcs", "sum(claim_count)", "gold"),
+        ("provider_performance", "pperf", "sum(value_rank + total_claims)", "gold"),
+        ("member_risk_profile", "mrp", "sum(total_claims)", "gold"),
+    ]
+    q["medallion_end_to_end"] = _with("\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset, count(*) AS row_count, CAST({content} AS DOUBLE) AS content, "
+        f"{repr(tier) if tier else 'CAST(NULL AS VARCHAR)'} AS tier, true AS comment_kept FROM {rows}"
+        for name, rows, content, tier in datasets),
+        "cb", "cs", "mb", "pb", "db", "cp", "mp", "pp", "dp", "ca", "mcs", "pperf", "mrp").replace(
+            # files that are ingested together have one load time, before the event feed's
+            "l_shipdate + to_seconds(l_partkey) AS ingestion_timestamp",
+            "TIMESTAMP '2001-01-01 00:00:00' AS ingestion_timestamp")
+    q["claims_optional_feed"] = _with("""
+SELECT 'with feed' AS run, source_type, count(*) AS row_count FROM cu GROUP BY source_type
+UNION ALL SELECT 'without feed', 'batch', count(*) FROM cb""", "cu", "cb")
+    q["bronze_lineage"] = _with("\nUNION ALL ".join(
+        f"SELECT '{source}' AS source, count(*) AS row_count, count(*) AS with_file, count(*) AS with_time, "
+        f"count(*) > 0 AS has_files FROM {rows}"
+        for source, rows in (("claims_batch", "cb"), ("claims_stream", "cs"), ("members", "mb"), ("providers", "pb"),
+                             ("diagnosis_reference", "db"))), "cb", "cs", "mb", "pb", "db")
+    q["bronze_malformed_dates"] = _with(f"""
+SELECT 'members' AS source, MemberID AS id,
+       CASE WHEN ascii(Region) % 3 < 2 THEN NULL ELSE CAST(DOB AS VARCHAR) END AS parsed FROM mb
+UNION ALL SELECT 'claims_stream', ClaimID,
+       CASE WHEN Status = 'click' THEN NULL ELSE strftime(EventTimestamp, {_TS}) END FROM cs""", "mb", "cs")
     return q

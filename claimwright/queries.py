@@ -10,8 +10,11 @@ same shape.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,7 @@ from claimwright.sources.files import read_bronze, write_raw
 from claimwright.streaming.ingest import ingest_directory
 
 AS_OF = TD.AS_OF
+RAW_SOURCES = ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference")
 
 # Columns whose values depend on the wall clock or on where files live.
 CLOCK_COLUMNS = ("processed_timestamp", "calculated_at", "calculated_timestamp", "source_file")
@@ -298,13 +302,82 @@ def q_sql_select_claims(spark: SparkSession, d: str) -> DataFrame:
     return comparable(spark.sql("SELECT * FROM claims_processed"))
 
 
+# one figure per dataset that depends on its contents
+CONTENT = {
+    "claims_batch": "sum(Amount)", "claims_stream": "sum(Amount)", "members": "sum(IsActive)",
+    "providers": "sum(size(Locations))", "diagnosis_reference": "sum(length(Code))",
+    "claims_processed": "sum(claim_amount)", "members_processed": "sum(age)", "providers_processed": "count(specialty)",
+    "diagnosis_reference_processed": "sum(length(code_standardized))", "data_quality_summary": "sum(valid_records)",
+    "claims_analytics": "sum(fraud_risk_score)", "claims_summary": "sum(claim_count)",
+    "provider_performance": "sum(value_rank + total_claims)", "member_risk_profile": "sum(total_claims)",
+}
+
+
 def q_medallion_end_to_end(spark: SparkSession, d: str) -> DataFrame:
-    """Store bronze, build and store every later dataset; row count per dataset."""
-    out_dir = scratch_path(spark, "medallion")
-    sources = ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference")
-    bronze_paths = medallion.store_bronze({s: TD.bronze(spark, d, s) for s in sources}, out_dir)
-    result = medallion.materialize(spark, {}, out_dir, as_of=AS_OF, bronze_paths=bronze_paths)
-    return medallion.dataset_row_counts(result)
+    """Raw files to gold: rows, a content figure, comment and tier of every dataset.
+
+    The run has catalog databases of its own; they are dropped again (the
+    tables are external, so the files stay for the returned frame).
+    """
+    raw_dirs = {s: _stage(spark, d, s) for s in RAW_SOURCES}
+    prefix = f"run_{uuid.uuid4().hex[:8]}_"
+    result = medallion.run_all(spark, raw_dirs, scratch_path(spark, "medallion"), as_of=AS_OF, catalog_prefix=prefix)
+    parts = []
+    for ds in medallion.datasets():
+        comment, tier = ds.comment, None
+        if ds.kind != "view":
+            told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {prefix}{ds.qualified_name}").collect()}
+            comment = told.get("Comment")
+            tier = re.search(r"quality=(\w+)", told.get("Table Properties", "")).group(1)
+        parts.append(result.tables[ds.name].agg(
+            F.lit(ds.name).alias("dataset"), F.count(F.lit(1)).alias("row_count"),
+            F.expr(CONTENT[ds.name]).cast("double").alias("content"),
+            F.lit(tier).cast("string").alias("tier"), F.lit(comment == ds.comment).alias("comment_kept")))
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {prefix}{layer} CASCADE")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_claims_optional_feed(spark: SparkSession, d: str) -> DataFrame:
+    """A run with the event feed, then one without it in the same session."""
+    paths = medallion.store_bronze({s: TD.bronze(spark, d, s) for s in ("claims_batch", "claims_stream")},
+                                   scratch_path(spark, "optional-feed"))
+    parts = []
+    for run, given in (("with feed", paths), ("without feed", {"claims_batch": paths["claims_batch"]})):
+        t = medallion.bronze_tables(spark, given)
+        claims = silver.union_claims(t["claims_batch"], t.get("claims_stream"))
+        parts.append(claims.groupBy(F.lit(run).alias("run"), "source_type").agg(F.count(F.lit(1)).alias("row_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_bronze_lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each ingested source that know their file and their load time."""
+    parts = []
+    for source in RAW_SOURCES:
+        if source.startswith("claims"):
+            sink = scratch_path(spark, f"bronze-{source}")
+            ingest_directory(spark, source, _stage(spark, d, source), sink, scratch_path(spark, f"ckpt-{source}"))
+            df = spark.read.parquet(sink)
+        else:
+            df = read_bronze(spark, source, _stage(spark, d, source))
+        parts.append(df.agg(F.lit(source).alias("source"), F.count(F.lit(1)).alias("row_count"),
+                            F.count("source_file").alias("with_file"), F.count("ingestion_timestamp").alias("with_time"),
+                            (F.count_distinct("source_file") > 0).alias("has_files")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_bronze_malformed_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Dates and timestamps that do not parse become NULL; their rows stay."""
+    members = TD.raw(spark, d, "members").withColumn("DOB", F.expr(
+        "CASE length(Name) + ascii(Region) % 3 WHEN length(Name) THEN 'unknown' "
+        "WHEN length(Name) + 1 THEN '1999-13-45' ELSE DOB END"))
+    events = TD.raw(spark, d, "claims_stream").withColumn("EventTimestamp", F.expr(
+        "CASE WHEN Status = 'click' THEN '2024/01/01' ELSE EventTimestamp END"))
+    m = read_bronze(spark, "members", write_raw(members, "members", scratch_path(spark, "malformed-members")))
+    e = read_bronze(spark, "claims_stream", write_raw(events, "claims_stream", scratch_path(spark, "malformed-events")))
+    return (m.select(F.lit("members").alias("source"), F.col("MemberID").alias("id"), F.col("DOB").cast("string").alias("parsed"))
+            .unionByName(e.select(F.lit("claims_stream").alias("source"), F.col("ClaimID").alias("id"),
+                                  F.date_format("EventTimestamp", "yyyy-MM-dd HH:mm:ss").alias("parsed"))))
 
 
 def entry_query(spark: SparkSession, d: str) -> DataFrame:
@@ -342,5 +415,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_risk_profile": q_member_risk_profile,
     "global_rank": q_global_rank,
     "sql_select_claims": q_sql_select_claims,
+    "claims_optional_feed": q_claims_optional_feed,
+    "bronze_lineage": q_bronze_lineage,
+    "bronze_malformed_dates": q_bronze_malformed_dates,
     "medallion_end_to_end": q_medallion_end_to_end,
 }

@@ -7,6 +7,7 @@ import contextlib
 from claimwright import queries as Q
 from claimwright.operators.materialize import materialize
 from claimwright.plans import gold
+from claimwright.sources import testdata as TD
 
 from conftest import SF_SMALL
 
@@ -93,9 +94,50 @@ def test_rollups_use_hash_aggregation(spark):
         assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
-def test_key_filter_reaches_the_scan(spark):
-    # the not-null key rule is applied below the de-duplication window
-    plan = Q._claims_processed(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    scan_filters = [line for line in plan.splitlines() if "PushedFilters" in line or "Filter" in line]
-    assert scan_filters
-    assert plan.count("WindowGroupLimit") >= 2
+def _below_exchange(df):
+    """Physical plan text under the first exchange."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and plan.count("WindowGroupLimit") >= 2
+    return plan.split("Exchange", 1)[1]
+
+
+def test_columns_are_derived_after_deduplication(spark):
+    below = _below_exchange(Q.q_claims_dedup(spark, SF_SMALL))
+    assert not any(c in below for c in ("icd10_codes_array", "is_high_value_claim", "is_valid_claim", "days_to_claim"))
+    below = _below_exchange(Q.q_members_dedup(spark, SF_SMALL))
+    assert not any(c in below for c in ("masked_email", "is_active_member", "has_complete_profile"))
+    below = _below_exchange(Q.q_diagnosis_processed(spark, SF_SMALL))
+    assert not any(c in below for c in ("code_standardized", "description_clean"))
+
+
+def test_key_rule_is_applied_below_the_exchange(spark):
+    # claim_id IS NOT NULL reaches both feeds' scans as a filter on their source columns
+    below = _below_exchange(Q._claims_processed(spark, SF_SMALL))
+    filters = [line for line in below.splitlines() if "Filter" in line]
+    assert any("l_partkey" in f and "isnotnull(concat(" in f for f in filters)
+    assert any("event_id" in f and "isnotnull(" in f for f in filters)
+
+
+def test_no_exchange_has_a_fixed_number_of_partitions(spark):
+    for source in Q.RAW_SOURCES:
+        plan = TD.raw(spark, SF_SMALL, source)._jdf.queryExecution().executedPlan().toString()
+        assert "REPARTITION" not in plan
+
+
+def test_every_line_has_an_order(spark):
+    # the providers are derived from lineitem without the join to orders
+    lines, orders = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert lines.join(orders, lines.l_orderkey == orders.o_orderkey, "left_anti").count() == 0
+
+
+def test_member_attributes_are_constant_per_member(spark):
+    # the member profile groups by them beside the key
+    analytics = Q._analytics(spark, SF_SMALL)
+    attrs = [src for src, _ in gold.MEMBER_PROFILE_ATTRIBUTES]
+    assert analytics.select("member_id", *attrs).distinct().count() == analytics.select("member_id").distinct().count()
+
+
+def test_ranks_are_bigint_and_narrow(spark):
+    ranked = gold.provider_performance(Q._analytics(spark, SF_SMALL))
+    types = dict(ranked.dtypes)
+    assert {types[r] for r in ("value_rank", "fraud_risk_rank", "volume_rank")} == {"bigint"}

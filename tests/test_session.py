@@ -1,0 +1,42 @@
+"""Shared folder rules and scratch tables."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from claimwright import session
+from claimwright.operators.materialize import materialize
+
+
+class _Cluster:
+    """What ensure_checkpoint_dir asks a session for."""
+
+    class sparkContext:  # noqa: N801
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class conf:  # noqa: N801
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_cluster_without_shared_folder_raises():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(_Cluster())
+    assert session.is_local("local[8]") and not session.is_local("local-cluster[3,2,1000]") and not session.is_local("yarn")
+
+
+def test_scope_removes_what_was_stored_in_it(spark):
+    with session.scratch_scope(spark) as root:
+        kept = materialize(spark.range(3), "t-scope")
+        assert kept.count() == 3
+        folder = root.removeprefix("file:")
+        assert os.listdir(folder)
+    assert not os.path.exists(folder)
+    assert materialize(spark.range(2), "t-after").count() == 2
