@@ -8,7 +8,8 @@ Typical use::
     claims = silver.claims_processed(batch_bronze, stream_bronze, as_of="2000-06-01")
     members = silver.members_processed(members_bronze, as_of="2000-06-01")
     providers = silver.providers_processed(providers_bronze)
-    analytics = gold.claims_analytics(claims, members, providers)
+    dims = gold.store_dimensions(claims, members, providers)
+    analytics = gold.claims_analytics(claims, dims)
     monthly = gold.monthly_claims_summary(analytics)
 
 or build and store every dataset in order with

@@ -111,7 +111,8 @@ def _silver_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, D
 
 
 def _analytics(spark: SparkSession, d: str) -> DataFrame:
-    return gold.claims_analytics(*_silver_tables(spark, d))
+    claims, members, providers = _silver_tables(spark, d)
+    return gold.claims_analytics(claims, gold.store_dimensions(claims, members, providers))
 
 
 # --- ingestion (files written by Spark from the test tables, then read back) ---
@@ -262,7 +263,8 @@ def q_provider_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_claims_enriched(spark: SparkSession, d: str) -> DataFrame:
-    return comparable(gold.claims_enriched(*_silver_tables(spark, d)))
+    claims, members, providers = _silver_tables(spark, d)
+    return comparable(gold.claims_enriched(claims, gold.store_dimensions(claims, members, providers)))
 
 
 FRAUD_OUTPUT = ("claim_id", "member_id", "provider_id", "claim_amount", "avg_claim_amount",

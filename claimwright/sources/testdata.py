@@ -135,7 +135,9 @@ def _two_copies(df: DataFrame, keep_second: str) -> DataFrame:
 def _lineitem_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
+    # Both are fact tables: a merge join at every size, as for inputs where
+    # neither side could be broadcast.
+    return li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey, "inner")
 
 
 def claims_batch_typed(spark: SparkSession, sf_dir: str) -> DataFrame:

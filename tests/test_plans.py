@@ -30,7 +30,8 @@ def test_enrichment_exchanges_claims_once_per_key(spark):
     members = materialize(Q._members_processed(spark, SF_SMALL), "plan-members")
     providers = materialize(Q._providers_processed(spark, SF_SMALL), "plan-providers")
     with static_plans(spark):
-        plan = gold.claims_enriched(claims, members, providers)._jdf.queryExecution().executedPlan().toString()
+        dims = gold.store_dimensions(claims, members, providers)
+        plan = gold.claims_enriched(claims, dims)._jdf.queryExecution().executedPlan().toString()
     # the per-key dimensions are stored first; what is left is one join per
     # key, each reading two exchanges: claim rows + dimension on member_id,
     # then on provider_id
@@ -73,7 +74,7 @@ def test_hot_member_and_provider_are_split_by_aqe(spark):
             F.concat(F.lit("p"), F.col("id")).alias("provider_id"), F.lit("n").alias("provider_name"),
             F.lit(True).alias("is_active"), F.lit("s").alias("specialty"), F.lit("a").alias("address"),
             F.lit("2000-01-01").cast("date").alias("last_verified"))
-        df = gold.claims_enriched(claims, members, providers)
+        df = gold.claims_enriched(claims, gold.store_dimensions(claims, members, providers))
         qe = df._jdf.queryExecution()
         assert qe.toRdd().count() == n
         final = qe.executedPlan().toString()

@@ -224,7 +224,7 @@ def test_unknown_member_and_provider_kept(spark):
                                         "Region string, PlanType string, has_complete_profile boolean")
     providers = spark.createDataFrame([], "provider_id string, provider_name string, is_active boolean, "
                                           "specialty string, address string, last_verified date")
-    (r,) = gold.claims_analytics(claims, members, providers).collect()
+    (r,) = gold.claims_analytics(claims, gold.store_dimensions(claims, members, providers)).collect()
     assert r.claim_id == "c1" and r.age is None and r.provider_name is None
     assert r.total_claims == 1 and r.member_claim_frequency == 1
 

@@ -35,7 +35,8 @@ def main(argv: list[str]) -> None:
                          "explain-claims")
     members = materialize(silver.members_processed(bronze["members"], Q.AS_OF), "explain-members")
     providers = materialize(silver.providers_processed(bronze["providers"]), "explain-providers")
-    analytics = materialize(gold.claims_analytics(claims, members, providers), "explain-analytics")
+    dims = gold.store_dimensions(claims, members, providers)
+    analytics = materialize(gold.claims_analytics(claims, dims), "explain-analytics")
     if static:
         spark.conf.set("spark.sql.adaptive.enabled", "false")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -46,7 +47,7 @@ def main(argv: list[str]) -> None:
         "providers_processed": silver.providers_processed(bronze["providers"]),
         "diagnosis_processed": silver.diagnosis_processed(bronze["diagnosis_reference"]),
         "data_quality_summary": quality.data_quality_summary(claims, members, providers),
-        "claims_analytics": gold.claims_analytics(claims, members, providers),
+        "claims_analytics": gold.claims_analytics(claims, dims),
         "claims_summary": gold.monthly_claims_summary(analytics, sort=False),
         "provider_metrics": gold.provider_metrics(analytics),
         "member_risk_profile": gold.member_risk_profile(analytics),
