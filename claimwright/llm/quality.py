@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], type=pa.binary())})
 
     total = np.zeros((BUCKETS, DIM), dtype=np.float32)
-    for row in sample.select("__body").mapInArrow(sums, "sums binary").toLocalIterator():
+    for row in sample.select("__body").mapInArrow(sums, "sums binary").collect():  # SAMPLE_PARTS rows at most
         total += np.frombuffer(row.sums, dtype=np.float32).reshape(BUCKETS, DIM)
     total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
     vectors = np.hstack([index, total])

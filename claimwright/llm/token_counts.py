@@ -2,7 +2,7 @@
 
 A text is cut at the vocabulary's special strings (one token each, as the
 library takes them by default) and then into pre-tokens by the vocabulary's
-pattern.  The distinct pre-tokens of a batch that are not known yet become one
+pattern, with the library's idea of letters and numbers.  The distinct pre-tokens of a batch that are not known yet become one
 ragged numpy array of byte symbols.  In each round every sequence applies its
 own lowest-ranked pair, at all places at once; sequences without a pair left
 drop out; the symbols that survive are counted.  A merged symbol's own pairs
@@ -22,6 +22,7 @@ columns are read.
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import regex
@@ -33,6 +34,19 @@ from claimwright.llm.common import map_texts
 
 #: Fixed value: the pre-token pattern of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters and numbers that are newer than the library's Unicode tables; to it they are other characters.
+NEWER = (
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F),
+    (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7),
+    (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1),
+    (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3),
+    (0x16FF2, 0x16FF6), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2),
+    (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6),
+    (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE),
+    (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF),
+    (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+)
 #: Pre-tokens whose counts a worker remembers, and the longest remembered one.
 MEMORY_TOKENS, MEMORY_CHARS = 300_000, 48
 #: Bytes of pre-tokens merged together.
@@ -40,6 +54,17 @@ MERGE_BYTES = 1 << 20
 NO_RANK = np.int32(2**31 - 1)
 
 
+def _older_pattern() -> str:
+    """:data:`PATTERN` with the newer characters moved out of the letters and numbers."""
+    newer = "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in NEWER)
+    return (PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{newer}]]")
+            .replace(r"\p{L}+", rf"[\p{{L}}--[{newer}]]+").replace(r"\p{N}+", rf"[\p{{N}}--[{newer}]]+"))
+
+
+#: The first bytes of UTF-8 characters from the least newer one on.
+_MAYBE_NEWER = re.compile(b"[%c-\xf4]" % chr(NEWER[0][0]).encode()[0]).search
+
+
 def byte_alphabet() -> list[str]:
     """The character that stands for each byte in a byte-level vocabulary.
 
@@ -71,6 +96,7 @@ class RankMerger:
         special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.cut = regex.compile(PATTERN).findall
+        self.cut_older = regex.compile(_older_pattern(), regex.V1).findall
         self.known: dict[str, int] = {}
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -133,16 +159,18 @@ class RankMerger:
                 size += len(t)
         return out
 
-    def tokens(self, texts: list[str]) -> list[int]:
+    def tokens(self, texts: list[bytes]) -> list[int]:
         """Tokens of each text."""
         specials = [0] * len(texts)
         cut: list[list[str]] = []
-        for i, text in enumerate(texts):
+        for i, raw in enumerate(texts):
+            text = raw.decode("utf-8", "replace")
+            find = self.cut_older if _MAYBE_NEWER(raw) else self.cut
             if self.special and (found := len(self.special.findall(text))):
                 specials[i] = found
-                cut.append([t for part in self.special.split(text) for t in self.cut(part)])
+                cut.append([t for part in self.special.split(text) for t in find(part)])
             else:
-                cut.append(self.cut(text))
+                cut.append(find(text))
         fresh = {t for tokens in cut for t in tokens if t not in self.known}
         counts = self.learn(sorted(fresh))
         if len(self.known) + len(counts) > MEMORY_TOKENS:
@@ -172,7 +200,7 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
         tables = merger(vocabulary)
 
         def fn(texts: list[bytes]) -> list[list]:
-            return [list(map(len, texts)), tables.tokens([t.decode("utf-8", "replace") for t in texts])]
+            return [list(map(len, texts)), tables.tokens(texts)]
         return fn
 
     fields = [T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]

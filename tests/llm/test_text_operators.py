@@ -248,7 +248,20 @@ def test_token_counts_with_a_small_memory(monkeypatch, prose):
     monkeypatch.setattr(C, "MERGE_BYTES", 64)
     merger, lib = C.RankMerger(BYTES), Tokenizer.from_file(BYTES)
     for some in (prose[:30], prose[20:], ["aaaaaaa aaaa<|endoftext|><|endoftext|>x", "x'll  \n\n y"]):
-        assert merger.tokens(some) == [len(e.ids) for e in lib.encode_batch(some, add_special_tokens=False)]
+        assert merger.tokens([t.encode() for t in some]) == [len(e.ids) for e in lib.encode_batch(some, add_special_tokens=False)]
+
+
+def test_token_counts_of_characters_from_all_of_unicode():
+    around = {c for a, b in C.NEWER for c in (a - 1, a, b, b + 1)}
+    points = [c for c in sorted(around | set(range(0, 0x110000, 257)) | set(range(0x3000))) if not 0xD800 <= c < 0xE000]
+    texts = ["a{0}1{0}{0} {0}'s{0}\n{0}  {0}1 ".format(chr(c)) for c in points]
+    lib = Tokenizer.from_file(BYTES)
+    assert C.RankMerger(BYTES).tokens([t.encode() for t in texts]) == [
+        len(e.ids) for e in lib.encode_batch(texts, add_special_tokens=False)]
+    enc = S.MergeEncoder(MODEL)
+    ids = [enc.encode(t) for t in texts]
+    assert ids == enc.library.encode(texts, add_eos=True)
+    assert [enc.decode(i) for i in ids] == enc.library.decode(ids)
 
 
 # --- 9: shards ---------------------------------------------------------------
