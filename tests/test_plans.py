@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import contextlib
 
+from pyspark.sql import functions as F
+
 from claimwright import queries as Q
 from claimwright.operators.materialize import materialize
 from claimwright.plans import gold
@@ -43,8 +45,6 @@ def test_enrichment_exchanges_claims_once_per_key(spark):
 
 
 def test_hot_member_and_provider_are_split_by_aqe(spark):
-    from pyspark.sql import functions as F
-
     conf = {"spark.sql.adaptive.enabled": "true",
             "spark.sql.adaptive.skewJoin.enabled": "true",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
@@ -142,3 +142,20 @@ def test_ranks_are_bigint_and_narrow(spark):
     ranked = gold.provider_performance(Q._analytics(spark, SF_SMALL))
     types = dict(ranked.dtypes)
     assert {types[r] for r in ("value_rank", "fraud_risk_rank", "volume_rank")} == {"bigint"}
+
+
+def test_monthly_summary_is_sorted(spark):
+    rows = gold.monthly_claims_summary(Q._analytics(spark, SF_SMALL)).select("claim_month", "provider_name", "risk_category").collect()
+    key = [tuple("" if v is None else v for v in r) for r in rows]  # ascending, NULL first
+    assert len(rows) > 100 and key == sorted(key)
+
+
+def test_ties_of_the_newest_row_are_settled(spark):
+    from claimwright.plans import silver
+
+    batch = TD.bronze(spark, SF_SMALL, "claims_batch").selectExpr("*").withColumn(
+        "ingestion_timestamp", F.lit("2001-01-01").cast("timestamp")).withColumn("ClaimID", F.expr("ProviderID"))
+    claims = silver.union_claims(batch)
+    one, other = (silver.dedup_claims(df).select("claim_id", "member_id", "claim_amount", "claim_date").collect()
+                  for df in (claims, claims.repartition(7, "claim_amount")))
+    assert sorted(one, key=repr) == sorted(other, key=repr) and len(one) < claims.count()
