@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from claimwright.llm.common import map_texts, prepare, stored
 
 WINDOW = 13
+RESULTS = ("n_words", "n_hit", "items", "contaminated")
 #: Bytes of normalised benchmark text that are broadcast at once.
 BLOCK_BYTES = 2 << 20
 #: Words of one benchmark piece.
@@ -250,11 +251,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     """One row per row of ``docs``: the ``keep`` columns (``key`` by default), n_words, n_hit, items, contaminated.
 
     ``items`` are the ids (as text, sorted) of the items with occurring
-    windows; contaminated: n_hit > 0 and share * n_hit >= n_words.
+    windows; contaminated: n_hit > 0 and share * n_hit >= n_words.  A kept
+    column named like one of these gives way to it.
     """
     spark = docs.sparkSession
     prepare(spark)
-    keep = keep or [key]
+    keep = [c for c in keep or [key] if c not in RESULTS]
     blocks = stored(_blocks(stored(_pieces(benchmark, item, item_text, window), "pieces"), block_bytes), "blocks")
     numbers = sorted(r[0] for r in blocks.select("block").distinct().collect())
     rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__body"),

@@ -211,12 +211,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def classify(docs: DataFrame, model: Network | Constant, vectors: np.ndarray, key: str = "doc_id", text: str = "text",
              threshold: float = 0.3, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (``key`` by default) of every row, score and predicted (1: score >= threshold)."""
+    """The ``keep`` columns (``key`` by default) of every row, score and predicted (1: score >= threshold).
+
+    A kept column named like one of these gives way to it.
+    """
+    keep = [c for c in keep or [key] if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast((model, vectors))
 
     def make():
         network, words = shared.value
         return lambda texts: [network.scores(pooled([word_buckets(t) for t in texts], words).astype(np.float64)).tolist()]
 
-    scored = map_texts(docs, text, keep or [key], [T.StructField("score", T.DoubleType())], make)
+    scored = map_texts(docs, text, keep, [T.StructField("score", T.DoubleType())], make)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

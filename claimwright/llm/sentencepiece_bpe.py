@@ -52,17 +52,25 @@ NEVER = float("inf")
 
 
 class Memory(dict):
-    """Ids by word; what is missing is merged.  Recent words outlive full memories."""
+    """Ids by word; what is missing is merged.  Recent words outlive full memories.
 
-    def __init__(self, encode):
+    ``pairs`` are the adjacent characters of all pieces.  A last character
+    that follows its neighbour in no piece (often a comma or full stop) is
+    never merged with it, so the rest of the word is looked up by itself.
+    """
+
+    def __init__(self, encode, pairs: set[str], last: "Memory | None" = None):
         super().__init__()
-        self.encode, self.old, self.merged = encode, {}, []
+        self.encode, self.pairs, self.last, self.old, self.merged = encode, pairs, last, {}, []
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         ids = self.old.get(word)
         if ids is None:
-            ids = self.encode(word)
-            self.merged.append((word, ids))
+            if len(word) > 1 and word[-2:] not in self.pairs and len(word) <= MEMORY_CHARS:
+                ids = (*self[word[:-1]], *(self if self.last is None else self.last)[word[-1]])
+            else:
+                ids = self.encode(word)
+                self.merged.append((word, ids))
         if len(word) <= MEMORY_CHARS:
             if len(self) >= MEMORY_WORDS:
                 self.old = dict(self)
@@ -101,8 +109,9 @@ class MergeEncoder:
         if len(self.bytes) != 256:
             raise ValueError("the vocabulary has no byte pieces")
         self.line_feed = self.merge("\n")
-        self.spaced = Memory(lambda word: tuple(self.merge(SPACE + word)))
-        self.bare = Memory(lambda word: tuple(self.merge(word)))
+        pairs = {piece[i:i + 2] for piece in self.cost for i in range(len(piece) - 1)}
+        self.bare = Memory(lambda word: tuple(self.merge(word)), pairs)
+        self.spaced = Memory(lambda word: tuple(self.merge(SPACE + word)), pairs, self.bare)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one word, by the agenda of adjacent pairs."""

@@ -98,6 +98,13 @@ def test_decontaminate_empty_tables(spark, edge, none):
     assert len(rows) == edge.count() and all(r.n_hit == 0 and not r.contaminated for r in rows)
 
 
+def test_decontaminate_keeps_columns(spark, edge):
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    df = D.decontaminate(edge.withColumn("items", F.lit("?")), benchmark, keep=[*edge.columns, "items"])
+    assert df.columns == [c for c in edge.columns if c != "n_words"] + list(D.RESULTS)
+    assert {r.lang for r in df.collect()} == {"?"} and dict(df.dtypes)["items"] == "array<string>"
+
+
 def test_wu_manber_finds_overlapping_patterns():
     search = D.WuManber([b" a ", b" a b ", b" a b a ", b" ab ", b" " + b"abcdefgh " * 5])
     text = b" a b a b a ab " + b"abcdefgh " * 7
