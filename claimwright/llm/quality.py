@@ -45,7 +45,7 @@ from claimwright.llm.common import map_texts, prepare, slices, stored
 TRAIN_ROWS = 20_000
 BUCKETS, DIM, NONZERO = 1 << 15, 32, 4
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 30, 128, 3e-3, 1e-4
-#: Files of the stored sample, so partial sums that meet on the driver.
+#: Files of the stored sample.
 SAMPLE_PARTS = 8
 
 _WORDS = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[!-/:-@\[-`{-~]+").findall
@@ -177,16 +177,21 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     sample = _sample(docs, labels, key, text, label, folds, fold, train_rows)
     index = index_vectors()
 
+    names = [f"v{i}" for i in range(DIM)]
+
     def sums(batches):
+        """One row per bucket that this task has seen next to a word."""
         total = np.zeros((BUCKETS, DIM), dtype=np.float32)
         for batch in batches:
             for _, texts in slices(batch.column(0)):
                 total += contexts([word_buckets(t) for t in texts], index)
-        yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], type=pa.binary())})
+        seen = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(seen), *[pa.array(v) for v in total[seen].T]], ["bucket", *names])
 
+    parts = sample.select("__body").mapInArrow(sums, "bucket long, " + ", ".join(f"{n} float" for n in names))
+    added = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # BUCKETS rows at most
     total = np.zeros((BUCKETS, DIM), dtype=np.float32)
-    for row in sample.select("__body").mapInArrow(sums, "sums binary").collect():  # SAMPLE_PARTS rows at most
-        total += np.frombuffer(row.sums, dtype=np.float32).reshape(BUCKETS, DIM)
+    total[added["bucket"].to_numpy()] = np.stack([added[n].to_numpy() for n in names], axis=1)
     total /= np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-6)
     vectors = np.hstack([index, total])
 
