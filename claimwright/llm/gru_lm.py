@@ -18,9 +18,9 @@ that are not held out.
    ``window`` tokens, the state carried from window to window, the gradient not.
    Each task learns from the training texts it reads, and the weights of all
    tasks are averaged (weighted by tokens) by an aggregate, ``rounds`` times; a
-   task sends as many numbers as there are weights.  In each round every
-   training text gives one in ``learn_every`` of its segments, other ones each
-   time, from all over the text.
+   task sends as many numbers as there are weights.  Every segment of every
+   training text is learned from once: text by text, they take turns between
+   the rounds.
 5. *Scores.*  Each text from its start to its end, the state carried all along.
    Texts are read as parallel lanes, sorted by length.  A token that is *other*
    counts p(other) * (c + 1) / (sum of (c + 1) over other tokens, and one for
@@ -50,7 +50,7 @@ from claimwright.llm.common import map_texts, prepare, slices, stored
 END = b"\n"
 SYMBOLS, CLASS_SIZE, HIDDEN = 1024, 32, 16
 FREQUENT = 200_000
-WINDOW, WINDOWS, LANES, LEARN_EVERY, ROUNDS, RATE = 16, 4, 128, 6, 2, 0.01
+WINDOW, WINDOWS, LANES, ROUNDS, RATE = 16, 4, 512, 2, 0.01
 #: Distinct tokens that a counting task holds, and tokens that are scored together.
 COUNTED, SCORED = 200_000, 3_000_000
 
@@ -155,8 +155,7 @@ class GRU:
         """ln p of each wanted symbol; with ``grads``, also adds the loss's gradients and returns that of h."""
         cls, word = np.divmod(want, self.size)
         rows = np.arange(len(h))
-        pc, lse = _softmax(h @ self.class_w + self.class_b)
-        logp = lse[rows, cls]
+        pc, logp = _softmax(h @ self.class_w + self.class_b, rows, cls, grads is not None)
         order = np.argsort(cls, kind="stable")
         cuts = np.flatnonzero(np.r_[True, np.diff(cls[order]) != 0, True]) if len(cls) else [0]
         back = None
@@ -168,8 +167,8 @@ class GRU:
         for a, b in zip(cuts[:-1], cuts[1:]):
             some = order[a:b]
             c, hs, ws, n = cls[some[0]], h[some], word[some], np.arange(b - a)
-            pw, lw = _softmax(hs @ self.word_w[c] + self.word_b[c])
-            logp[some] += lw[n, ws]
+            pw, lw = _softmax(hs @ self.word_w[c] + self.word_b[c], n, ws, grads is not None)
+            logp[some] += lw
             if grads is not None:
                 pw[n, ws] -= 1
                 grads["word_w"][c] += hs.T @ pw
@@ -212,14 +211,19 @@ def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    z = z - z.max(axis=1, keepdims=True)
+def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray, full: bool) -> tuple[np.ndarray | None, np.ndarray]:
+    """Probabilities of each row's entries (if ``full``) and the logarithm of the wanted one's.
+
+    Biases are logarithms of probabilities, so some entry is never far below 0;
+    entries are capped instead of shifted by their maximum.
+    """
+    z = np.minimum(z, 60)
     e = np.exp(z)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, z - np.log(total)
+    total = e @ np.ones((z.shape[1], 1), dtype=e.dtype)
+    return e / total if full else None, z[rows, wanted] - np.log(total[:, 0])
 
 
 class Learner:
@@ -322,7 +326,7 @@ def _encode(docs: DataFrame, key: str, text: str, folds: int, fold: int, n_symbo
     return map_texts(rows, "__body", [key, "held_out"], fields, make)
 
 
-def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: int) -> None:
+def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: int, rounds: int) -> None:
     """One round of training on the rows' symbols, then the average of all tasks' weights."""
     start = spark.sparkContext.broadcast(net)
 
@@ -336,7 +340,7 @@ def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: i
             for value in batch.column(0):
                 symbols = np.frombuffer(value.as_py(), dtype="<i2").astype(np.int64)
                 for i, at in enumerate(range(0, len(symbols), span)):
-                    if (i + turn) % LEARN_EVERY == 0:
+                    if (i + turn) % rounds == 0:
                         lanes.append((int(symbols[at - 1]) if at else own.n, symbols[at:at + span]))
                         if len(lanes) == LANES:
                             learner.learn(lanes)
@@ -375,7 +379,7 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: i
     rows = stored(rows, "lm-rows")
     net = GRU(symbol_counts)
     for r in range(rounds):
-        _train_round(spark, rows, net, r)
+        _train_round(spark, rows, net, r, rounds)
 
     # Counts of the tokens that are not frequent: unseen ones add log10(0 + 1) = 0.
     rare = rows.select("__row", F.explode("rare").alias("__t"))
