@@ -603,6 +603,7 @@ FROM cp""", "cp")
     ]
     q["medallion_end_to_end"] = _with("\nUNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS row_count, CAST({content} AS DOUBLE) AS content, "
+        f"{'CAST(NULL AS BIGINT)' if name == 'claims_summary' else 'count(*)'} AS with_clock, "
         f"{repr(tier) if tier else 'CAST(NULL AS VARCHAR)'} AS tier, true AS comment_kept FROM {rows}"
         for name, rows, content, tier in datasets),
         "cb", "cs", "mb", "pb", "db", "cp", "mp", "pp", "dp", "ca", "mcs", "pperf", "mrp").replace(
