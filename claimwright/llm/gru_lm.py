@@ -37,6 +37,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -259,6 +260,18 @@ class Learner:
                 p -= self.rate * g / np.sqrt(self.squares[name])
 
 
+def segments(text: bytes, start: int, round_number: int, rounds: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The segments of a text's symbols whose turn this round is, each with the symbol before it.
+
+    Over all rounds each segment comes once; the text itself says where it
+    begins, so the order of the rows does not matter.
+    """
+    symbols, span = np.frombuffer(text, dtype="<i2").astype(np.int64), WINDOW * WINDOWS
+    first = (round_number + crc32(text)) % rounds
+    for at in range(first * span, len(symbols), rounds * span):
+        yield int(symbols[at - 1]) if at else start, symbols[at:at + span]
+
+
 def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each text's symbols (each has one at least), the state carried through."""
     out = np.zeros(len(texts))
@@ -335,17 +348,13 @@ def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: i
         own = GRU(np.ones(model.n), model.size, model.hidden)
         own.load(model.flat())
         learner, lanes = Learner(own), []
-        span, turn = WINDOW * WINDOWS, round_number
         for batch in batches:
             for value in batch.column(0):
-                symbols = np.frombuffer(value.as_py(), dtype="<i2").astype(np.int64)
-                for i, at in enumerate(range(0, len(symbols), span)):
-                    if (i + turn) % rounds == 0:
-                        lanes.append((int(symbols[at - 1]) if at else own.n, symbols[at:at + span]))
-                        if len(lanes) == LANES:
-                            learner.learn(lanes)
-                            lanes = []
-                turn += 1
+                for segment in segments(value.as_py(), own.n, round_number, rounds):
+                    lanes.append(segment)
+                    if len(lanes) == LANES:
+                        learner.learn(lanes)
+                        lanes = []
         if lanes:
             learner.learn(lanes)
         if learner.tokens:

@@ -80,6 +80,16 @@ def test_lm_carries_the_state_through_the_text():
         assert abs(score - want / math.log(10)) < 1e-3
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_lm_learns_from_every_segment_once(rounds):
+    for length in (1, 64, 65, 1000):
+        text = np.arange(length).astype("<i2")
+        parts = sorted(((int(s[0]), before, s.tolist()) for r in range(rounds)
+                        for before, s in gru_lm.segments(text.tobytes(), -9, r, rounds)))
+        assert [x for _, _, s in parts for x in s] == list(range(length))
+        assert [b for _, b, _ in parts] == [-9] + [at - 1 for at, _, _ in parts[1:]]
+
+
 def test_lm_gradients_agree_with_differences():
     net, texts = net_and_texts()
     for n in net.NAMES:
