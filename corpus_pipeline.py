@@ -55,7 +55,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the one with the smallest id."""
     near = simhash.simhash_dedup(docs, shingle=3, max_distance=2)
-    gone = stored(near.filter("doc_id > component_id").select(F.col("doc_id").alias("__id")).distinct(), "pipeline-near-copies")
+    # An id with several texts stays if it is the first of any of their components.
+    gone = near.groupBy(F.col("doc_id").alias("__id")).agg(F.bool_and(F.expr("doc_id > component_id")).alias("__gone"))
+    gone = stored(gone.filter("__gone").select("__id"), "pipeline-near-copies")
     return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
 
 

@@ -233,6 +233,8 @@ def test_pipeline_on_odd_rows(spark, edge, none):
     for name, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, edge, SF_SMALL).columns == edge.columns, name
         assert stage(spark, none, SF_SMALL).count() == 0, name
+    near = {(r.doc_id, (r.text or "")[:20]) for r in corpus_pipeline.drop_near_copies(spark, edge, SF_SMALL).collect()}
+    assert (8, "other text of the sa") in near and (-3, "alpha beta gamma del") in near and (5, "alpha beta gamma del") not in near
     kept = corpus_pipeline.drop_copies(spark, edge, SF_SMALL).collect()
     texts = [r.text or "" for r in kept]
     assert sorted(texts) == sorted({r.text or "" for r in edge.collect()})
