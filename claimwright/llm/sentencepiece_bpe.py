@@ -45,7 +45,7 @@ from claimwright.llm.common import map_texts
 
 SPACE = "▁"
 #: Words whose ids a worker remembers (twice as many for a moment), and the longest one.
-MEMORY_WORDS, MEMORY_CHARS = 150_000, 48
+MEMORY_WORDS, MEMORY_CHARS = 300_000, 48
 #: Longest word whose agenda is a list.
 SHORT = 32
 NEVER = float("inf")
