@@ -5,9 +5,10 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and calls one operator of
 columns of ``docs``; the last one returns the encoded documents' digests.
 Between stages the rows are written as Parquet and read again.
 
-Defined cases: rows without an id stay where a decision is made by id (near
-duplicates), and are judged by their text elsewhere; documents may have further
-columns under any name (they are carried in one struct while operators run).
+Defined cases: rows without an id, and rows that share one, are judged by their
+text like any other; of near copies the smallest id stays, a row without id only
+if none has one; documents may have further columns under any name (they are
+carried in one struct while operators run).
 """
 
 from __future__ import annotations
@@ -53,12 +54,16 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: the one with the smallest id."""
-    near = simhash.simhash_dedup(docs, shingle=3, max_distance=2)
-    # An id with several texts stays if it is the first of any of their components.
-    gone = near.groupBy(F.col("doc_id").alias("__id")).agg(F.bool_and(F.expr("doc_id > component_id")).alias("__gone"))
-    gone = stored(gone.filter("__gone").select("__id"), "pipeline-near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    """One row of each SimHash component: the one with the smallest id, null last; the first of equal ids."""
+    # Rows are told apart by a number, not by their id; stored, so that it stays the same.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__doc"), F.monotonically_increasing_id().alias("__row"))
+    rows = stored(rows, "pipeline-numbered")
+    name = F.struct(F.col("__doc.doc_id").isNull().alias("no_id"), F.col("__doc.doc_id").alias("id"), F.col("__row").alias("row"))
+    near = simhash.simhash_dedup(rows.select(name.alias("__name"), F.col("__doc.text").alias("__body")),
+                                 key="__name", text="__body", shingle=3, max_distance=2)
+    gone = stored(near.filter(F.col("__name.row") != F.col("component_id.row")).select(F.col("__name.row").alias("__gone")),
+                  "pipeline-near-copies")
+    return rows.join(gone, rows["__row"] == gone["__gone"], "left_anti").select("__doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -239,3 +239,15 @@ def test_pipeline_on_odd_rows(spark, edge, none):
     texts = [r.text or "" for r in kept]
     assert sorted(texts) == sorted({r.text or "" for r in edge.collect()})
     assert hashlib.sha256(b"").hexdigest() not in texts
+
+
+def test_pipeline_near_copies_of_rows_without_a_unique_id(spark):
+    base, other = "the first text with words", "another text about something else"
+    groups = [{base, base.upper()}, {other, other.upper()}, {"q"}, {"z z"}, {"single"}]  # equal fingerprints
+    rows = [(None, base.upper()), (None, base), (3, base.upper()), (4, base), (4, other), (5, other.upper()), (6, "q"), (6, "q"),
+            (None, "z z"), (None, "z z"), (2, "single")]
+    docs = spark.createDataFrame([(*r, "?") for r in rows], "doc_id long, text string, __row string").repartition(3)
+    out = corpus_pipeline.drop_near_copies(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    kept = [(r.doc_id, next(i for i, g in enumerate(groups) if r.text in g)) for r in out.collect()]
+    assert sorted(kept, key=repr) == sorted([(3, 0), (4, 1), (6, 2), (None, 3), (2, 4)], key=repr)
