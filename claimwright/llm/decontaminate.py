@@ -22,9 +22,11 @@ are several blocks, each pass's hits are carried in the rows, written to the
 shared folder, and added to by the next pass.
 
 Defined cases: null or empty texts have no words, no hits and are not
-contaminated; items without words have no window, null item ids are ignored;
-repeated items count once by item id; repeated rows are judged alike; empty
-tables give empty results or no hits.  Only the named columns are read.
+contaminated; items without words have no window; items with a null id are
+searched like any other, have no name in ``items`` and count as one item
+together in ``n_items``; repeated items count once by item id; repeated rows are
+judged alike; empty tables give empty results or no hits.  Only the named
+columns are read.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ from pyspark.sql import types as T
 from claimwright.llm.common import map_texts, prepare, stored
 
 WINDOW = 13
-RESULTS = ("n_words", "n_hit", "items", "contaminated")
+RESULTS = ("n_words", "n_hit", "n_items", "items", "contaminated")
 #: Bytes of normalised benchmark text that are broadcast at once.
 BLOCK_BYTES = 2 << 20
 #: Words of one benchmark piece.
@@ -159,8 +161,8 @@ class WuManber:
 class Matcher:
     """Words of documents that occurrences of the items' windows cover."""
 
-    def __init__(self, pieces: list[tuple[str, bytes]], window: int):
-        items: dict[bytes, set[str]] = {}
+    def __init__(self, pieces: list[tuple[str | None, bytes]], window: int):
+        items: dict[bytes, set[str | None]] = {}
         for item, text in pieces:
             for w in windows_of(text.split(), window):
                 items.setdefault(w, set()).add(item)
@@ -173,7 +175,7 @@ class Matcher:
         docs = [normalised(words_of(t)) for t in texts]
         n_words = [max(0, d.count(b" ") - 1) for d in docs]
         ranges: list[list[int]] = [[] for _ in docs]
-        items: list[list[str]] = [[] for _ in docs]
+        items: list[list[str | None]] = [[] for _ in docs]
         whole = b"\0".join(docs)
         at, ids = self.search.find(whole) if self.search else ([], [])
         if at:
@@ -183,12 +185,12 @@ class Matcher:
             doc = np.searchsorted(starts, places, side="right") - 1
             word = np.searchsorted(spaces, places) - np.searchsorted(spaces, starts)[doc]
             order = np.lexsort((word, doc))
-            seen: dict[int, set[str]] = {}
+            seen: dict[int, set[str | None]] = {}
             for d, w, k in zip(doc[order].tolist(), word[order].tolist(), np.array(ids)[order].tolist()):
                 _extend(ranges[d], w, w + self.lengths[k])
                 seen.setdefault(d, set()).update(self.items[k])
             for d, names in seen.items():
-                items[d] = sorted(names)
+                items[d] = sorted(names, key=lambda n: (n is None, n))
         return [n_words, ranges, items]
 
 
@@ -203,7 +205,7 @@ def _extend(ranges: list[int], start: int, end: int) -> None:
 _MATCHERS: dict[str, Matcher] = {}
 
 
-def _matcher(name: str, pieces: list[tuple[str, bytes]], window: int) -> Matcher:
+def _matcher(name: str, pieces: list[tuple[str | None, bytes]], window: int) -> Matcher:
     """One block's tables, kept while a worker works on that block."""
     if name not in _MATCHERS:
         _MATCHERS.clear()
@@ -226,8 +228,7 @@ def _pieces(benchmark: DataFrame, item: str, text: str, window: int) -> DataFram
         return fn
 
     field = T.StructField("__pieces", T.ArrayType(T.StringType()))
-    items = benchmark.filter(benchmark[item].isNotNull())
-    named = items.select(items[item].cast("string").alias("__item"), items[text].alias("__text0"))
+    named = benchmark.select(benchmark[item].cast("string").alias("__item"), benchmark[text].alias("__text0"))
     cut = map_texts(named, "__text0", ["__item"], [field], make)
     cut = cut.select(F.col("__item").alias("item"), F.explode("__pieces").alias("piece")).distinct()
     return cut.withColumn("size", F.octet_length("piece"))
@@ -248,11 +249,12 @@ def _blocks(pieces: DataFrame, block_bytes: int) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item: str = "item_id", item_text: str = "text", window: int = WINDOW, share: int = 20,
                   keep: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: the ``keep`` columns (``key`` by default), n_words, n_hit, items, contaminated.
+    """One row per row of ``docs``: the ``keep`` columns (``key`` by default), n_words, n_hit, n_items, items, contaminated.
 
     ``items`` are the ids (as text, sorted) of the items with occurring
-    windows; contaminated: n_hit > 0 and share * n_hit >= n_words.  A kept
-    column named like one of these gives way to it.
+    windows, ``n_items`` is their number, and one more if windows of items
+    without id occur; contaminated: n_hit > 0 and share * n_hit >= n_words.  A
+    kept column named like one of these gives way to it.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -280,7 +282,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
             shared.unpersist()
     return (rows.withColumn("n_hit", _covered(F.col("__ranges")))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
-            .select(*keep, "n_words", "n_hit", F.col("__items").alias("items"), "contaminated"))
+            .select(*keep, "n_words", "n_hit", F.size("__items").cast("long").alias("n_items"),
+                    F.array_compact("__items").alias("items"), "contaminated"))
 
 
 def _covered(flat):

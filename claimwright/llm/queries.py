@@ -25,7 +25,7 @@ def vocabulary(name: str) -> str:
 
 def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     found = decontaminate.decontaminate(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 

@@ -105,6 +105,32 @@ def test_decontaminate_keeps_columns(spark, edge):
     assert {r.lang for r in df.collect()} == {"?"} and dict(df.dtypes)["items"] == "array<string>"
 
 
+@pytest.mark.parametrize("block_bytes", [D.BLOCK_BYTES, 20])
+def test_decontaminate_searches_items_without_id(spark, block_bytes):
+    items = [(None, "only unnamed here"), (None, "second unnamed"), (1, "named one"), (None, "named one"), (2, None), (None, "")]
+    docs = [(1, "x only unnamed here y"), (2, "named one z"), (3, "Second, unnamed only unnamed here"), (4, "nothing"), (5, None),
+            (6, "word " * 100 + "second unnamed")]
+    rows = D.decontaminate(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for r in rows) == [
+        (1, 5, 3, 1, [], True), (2, 3, 2, 2, ["1"], True), (3, 5, 5, 1, [], True), (4, 1, 0, 0, [], False),
+        (5, 0, 0, 0, [], False), (6, 102, 2, 1, [], False)]
+
+
+def test_decontaminate_query_equals_its_sql_on_items_without_id(spark, tmp_path):
+    import duckdb
+    from claimwright.llm.queries import ORACLE_SQL, QUERIES
+    spark.read.parquet(f"{SF_SMALL}/documents.parquet").write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    benchmark = benchmark.withColumn("item_id", F.when(F.col("item_id") % 3 != 0, F.col("item_id")))
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [tuple(r) for r in QUERIES["op1_decontaminate"](spark, str(tmp_path)).collect()]
+    db = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(rows) == sorted(db.execute(ORACLE_SQL["op1_decontaminate"]).fetchall())
+
+
 def test_wu_manber_finds_overlapping_patterns():
     search = D.WuManber([b" a ", b" a b ", b" a b a ", b" ab ", b" " + b"abcdefgh " * 5])
     text = b" a b a b a ab " + b"abcdefgh " * 7
