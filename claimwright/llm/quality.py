@@ -17,10 +17,11 @@ the training rows; part of them is set aside to fit the temperature that
 calibrates the probabilities.
 
 *Training rows* are at most ``train_rows`` labelled rows (those with the least
-hash of their id, of all that are not held out), so what is learned from and
-what is broadcast (sample ids, vectors, weights) is bounded, whatever the table
-size.  Only their texts are selected from the table, without a shuffle.  Only
-pooled vectors reach the driver.  Scoring is one pass over all rows.
+hash of their id, of all that are not held out, and of rows with one id the text
+with the least hash), so what is learned from and what is broadcast (sample ids,
+vectors, weights) is bounded, whatever the table size.  Only their texts are
+selected from the table; an aggregate, which combines map-side, leaves one of
+each id.  Only pooled vectors reach the driver.  Scoring is one pass over all rows.
 
 Defined cases: null and empty texts have no words, a zero vector and the score
 that the network gives it; null ids count as held out; ids labelled in two ways
@@ -166,7 +167,10 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
     # Bounded by `rows`: 12 bytes each.
     known = F.broadcast(stored(known, "quality-ids"))
     chosen = docs.join(known, docs[key] == known["__id"], "inner")
-    return stored(chosen.select("__id", "__y", docs[text].alias("__body")).repartition(SAMPLE_PARTS, "__id"), "quality-sample")
+    # One row of each id, so that `rows` bounds the rows too.
+    least = F.min(F.struct(F.xxhash64(docs[text]).alias("hash"), docs[text].alias("body")))
+    chosen = chosen.groupBy("__id", "__y").agg(least.alias("__least"))
+    return stored(chosen.select("__id", "__y", F.col("__least.body").alias("__body")).repartition(SAMPLE_PARTS, "__id"), "quality-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",

@@ -146,6 +146,17 @@ def test_quality_learns_from_no_held_out_row(spark):
     assert len(sample) == 50 and all(crc32(str(r[0]).encode()) % 5 for r in sample)
 
 
+def test_quality_sample_holds_one_row_of_each_id(spark):
+    docs = spark.range(300).selectExpr("IF(id < 100, 1, id) AS doc_id", "concat('text ', id) AS text").repartition(4)
+    docs = docs.unionByName(spark.createDataFrame([(1, None)], "doc_id long, text string"))
+    labels = spark.range(300).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    sample = quality._sample(docs, labels, "doc_id", "text", "quality", 1, 1, 1000)
+    rows = sorted((r["__id"], r["__y"]) for r in sample.collect())
+    assert rows == [(i, i % 2) for i in [1, *range(100, 300)]]
+    again = quality._sample(docs.repartition(7), labels, "doc_id", "text", "quality", 1, 1, 1000)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, sample.collect()))
+
+
 # --- 10: chat ----------------------------------------------------------------
 
 CHAT = [(1, 1, "user", "hi"), (1, 2, "assistant", "a \\0 \\a [INST] </s>"), (1, 3, "user", None), (1, 4, "assistant", ""),
