@@ -79,7 +79,8 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
     chats = chat.format_chats(rows.unionByName(planted))
     turns = chat.read_back(F.col("formatted"))
     chats = chats.withColumn("__turns", turns)
-    learned = F.array_join(F.transform(F.filter("__turns", lambda t: t["loss"]), lambda t: t["text"]), "")
+    learned = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]),
+                                       lambda s: chat.unescape(s["text"], chat.Template())), "")
     dump = F.array_join(F.transform("__turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return chats.select(
         "conv_id", F.size("__turns").cast("long").alias("n_turns"), F.sha2(dump, 256).alias("turns_sha256"),

@@ -184,6 +184,20 @@ def test_chat_texts_hold_no_control_string(spark):
     assert row.u == nasty and not any(c in row.e for c in template.controls())
 
 
+def test_chat_query_takes_the_learned_text_from_the_segments(spark, monkeypatch):
+    before = {r.conv_id: r for r in QUERIES["op10_chat_format"](spark, SF_SMALL).collect()}
+    assert before[-7].loss_chars == len("</s>[INST] ok [/INST]")
+    made = chat.format_chats
+
+    def unflagged(rows):
+        return made(rows).withColumn("segments", F.expr("transform(segments, s -> struct(s.text AS text, false AS loss))"))
+
+    monkeypatch.setattr(chat, "format_chats", unflagged)
+    after = {r.conv_id: r for r in QUERIES["op10_chat_format"](spark, SF_SMALL).collect()}
+    assert all(r.loss_chars == 0 for r in after.values())
+    assert all(after[c].turns_sha256 == r.turns_sha256 for c, r in before.items())
+
+
 # --- pipeline ----------------------------------------------------------------
 
 @pytest.fixture(scope="module")
