@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimwright.llm import (
-    chat, decontaminate, exact_dedup, gru_lm, quality, sentencepiece_bpe, sharding, simhash,
-    substring_dedup, token_counts,
+    byte_bpe, chat, conversation_repair, decontaminate, exact_dedup, gru_lm, quality, sentencepiece_bpe, sharding,
+    simhash, source_divergence, substring_dedup, token_counts,
 )
 
 
@@ -88,6 +88,29 @@ def op10_chat_format(spark: SparkSession, d: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"), "valid_order")
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return source_divergence.audit(_table(spark, d, "documents"), min_docs=10, top=10)
+
+
+def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    coded = byte_bpe.encode_decode(_table(spark, d, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    rows = _table(spark, d, "conversations")
+    fixed = conversation_repair.repair(conversation_repair.damaged(rows))
+    convs = rows.select(F.col("conv_id").alias("conv")).distinct()
+    audits = fixed.audits.withColumnRenamed("conv_id", "audit_conv")
+    texts = conversation_repair.digests(fixed.turns).withColumnRenamed("conv_id", "text_conv")
+    found = (convs.join(audits, convs["conv"].eqNullSafe(audits["audit_conv"]), "left")
+             .join(texts, convs["conv"].eqNullSafe(texts["text_conv"]), "left"))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(F.col("conv").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -99,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_chat_format": op10_chat_format,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -160,4 +186,29 @@ ORACLE_SQL: dict[str, str] = {
                sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
                regexp_full_match(roles, '(system,)?(user,assistant,)*(user,)?') AS valid_order
         FROM g""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                       regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs
+              FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL),
+        k AS (SELECT lang, term, sum(n) AS lang_n FROM c GROUP BY ALL HAVING sum(docs) >= 10),
+        l AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM k GROUP BY lang),
+        u AS (SELECT c.* FROM c JOIN k USING (lang, term)),
+        g AS (SELECT lang, source, coalesce(sum(n), 0) AS total
+              FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN u USING (lang, source) GROUP BY ALL),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(u.n, 0) AS n,
+                     1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+                     1 + (1000000000::HUGEINT * (k.lang_n + 2)) // (l.total + 2 * l.v) AS q
+              FROM g JOIN k ON g.lang = k.lang JOIN l ON l.lang = g.lang
+              LEFT JOIN u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+        sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                 FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+                 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                 LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+                 UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM rows)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

@@ -54,7 +54,7 @@ MERGE_BYTES = 1 << 20
 NO_RANK = np.int32(2**31 - 1)
 
 
-def _older_pattern() -> str:
+def older_pattern() -> str:
     """:data:`PATTERN` with the newer characters moved out of the letters and numbers."""
     newer = "".join(f"\\U{a:08X}-\\U{b:08X}" for a, b in NEWER)
     return (PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"[[^\s\p{{L}}\p{{N}}]||[{newer}]]")
@@ -62,7 +62,7 @@ def _older_pattern() -> str:
 
 
 #: The first bytes of UTF-8 characters from the least newer one on.
-_MAYBE_NEWER = re.compile(b"[%c-\xf4]" % chr(NEWER[0][0]).encode()[0]).search
+MAYBE_NEWER = re.compile(b"[%c-\xf4]" % chr(NEWER[0][0]).encode()[0]).search
 
 
 def byte_alphabet() -> list[str]:
@@ -96,7 +96,7 @@ class RankMerger:
         special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.cut = regex.compile(PATTERN).findall
-        self.cut_older = regex.compile(_older_pattern(), regex.V1).findall
+        self.cut_older = regex.compile(older_pattern(), regex.V1).findall
         self.known: dict[str, int] = {}
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -165,7 +165,7 @@ class RankMerger:
         cut: list[list[str]] = []
         for i, raw in enumerate(texts):
             text = raw.decode("utf-8", "replace")
-            find = self.cut_older if _MAYBE_NEWER(raw) else self.cut
+            find = self.cut_older if MAYBE_NEWER(raw) else self.cut
             if self.special and (found := len(self.special.findall(text))):
                 specials[i] = found
                 cut.append([t for part in self.special.split(text) for t in find(part)])
