@@ -19,7 +19,7 @@ which cost.  So a prefix's best audit is part of the whole's.)
 
 How it runs: rows are sorted by a range shuffle on (conversation, turn, role,
 text) and numbered, so a conversation with a third of all rows lies in many
-partitions.  The DP works on blocks of at most :data:`BLOCK_ROWS` rows of one
+partitions.  The DP works on blocks of at most 2 ** :data:`BLOCK_BITS` rows of one
 conversation, each a short string of codes: a block gives the best audit from
 each state to each state, all blocks at the same time.  Conversations are folded
 over their blocks, which gives each block its part of the audit.  Applying the
@@ -51,9 +51,8 @@ from claimwright.llm.common import prepare, quoted, stored
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
 #: Fixed value: white space.
 BLANKS = " \t\n\x0b\x0c\r"
-#: Rows of one block (a power of 2).
+#: A block has 2 ** BLOCK_BITS rows at most.
 BLOCK_BITS = 12
-BLOCK_ROWS = 1 << BLOCK_BITS
 #: Rows of text that leave a worker together.
 OUT_ROWS = 500
 
@@ -231,7 +230,8 @@ class Repair:
     turns: DataFrame
 
 
-def repair(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> Repair:
+def repair(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
+           block_bits: int = BLOCK_BITS) -> Repair:
     """Repaired conversations, and for each gaps, blank, duplicate, truncated, illegal, cost and audit."""
     prepare(rows.sparkSession)
     rows = rows.select(quoted(conv).alias("conv"), quoted(turn).alias("turn"), F.coalesce(quoted(role), F.lit(" ")).alias("role"),
@@ -262,10 +262,10 @@ def repair(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
         *[F.count_if(F.col("fault") == f).alias(f) for f in ("blank", "duplicate", "truncated")])
 
     # Numbers of a conversation's rows follow one another within a block.
-    blocks = judged.groupBy("conv", F.shiftright("n", BLOCK_BITS).alias("block")).agg(
+    blocks = judged.groupBy("conv", F.shiftright("n", block_bits).alias("block")).agg(
         F.min("n").alias("n"), F.array_sort(F.collect_list(F.struct("n", "code"))).alias("rows"))
     blocks = blocks.select("conv", "n", F.array_join(F.col("rows.code"), "").alias("codes"))
-    solved = blocks.mapInArrow(_solve, f"conv {conv_type}, n long, codes string, costs array<int>, audits array<string>")
+    solved = blocks.mapInArrow(_solver(1 << block_bits), f"conv {conv_type}, n long, codes string, costs array<int>, audits array<string>")
     parts = (solved.repartition("conv").sortWithinPartitions(F.col("conv").asc_nulls_first(), "n")
              .mapInArrow(_fold, f"conv {conv_type}, n long, entry int, part string, cost long, illegal long, audit string"))
     parts = stored(parts, "repair-parts")
@@ -288,19 +288,21 @@ def digests(turns: DataFrame, conv: str = "conv_id") -> DataFrame:
     return turns.select(conv, "role", "text").mapInArrow(_digest, f"`{conv}` {kind}, repaired_sha256 string")
 
 
-def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _solver(block_rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """16 costs (-1: none) and audits of each block, by entry and exit state."""
-    for batch in batches:
-        costs, audits = [], []
-        for n, codes in zip(batch.column("n").to_pylist(), batch.column("codes").to_pylist()):
-            # A block that does not begin at a block's place is the conversation's first.
-            entries = (START,) if n % BLOCK_ROWS else range(4)
-            found = [best_audits(codes, e) if e in entries else [None] * 4 for e in range(4)]
-            costs.append([-1 if x is None else x[0] for row in found for x in row])
-            audits.append([None if x is None else x[1] for row in found for x in row])
-        yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in ("conv", "n", "codes")], pa.array(costs, pa.list_(pa.int32())),
-             pa.array(audits, pa.list_(pa.string()))], names=["conv", "n", "codes", "costs", "audits"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            costs, audits = [], []
+            for n, codes in zip(batch.column("n").to_pylist(), batch.column("codes").to_pylist()):
+                # A block that does not begin at a block's place is the conversation's first.
+                entries = (START,) if n % block_rows else range(4)
+                found = [best_audits(codes, e) if e in entries else [None] * 4 for e in range(4)]
+                costs.append([-1 if x is None else x[0] for row in found for x in row])
+                audits.append([None if x is None else x[1] for row in found for x in row])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("conv", "n", "codes")], pa.array(costs, pa.list_(pa.int32())),
+                 pa.array(audits, pa.list_(pa.string()))], names=["conv", "n", "codes", "costs", "audits"])
+    return run
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,6 +332,8 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 begin = True
             else:
                 begin = False
+                if costs[4 * SYSTEM + SYSTEM] < 0:
+                    raise ValueError("a later block was solved as a first one")
             initials = last + "".join(PLAIN[(PLAIN + CUT + GONE).index(x) % 4] for x in codes)
             illegal += sum(a + b not in _LEGAL for a, b in zip(initials, initials[1:]))
             last = initials[-1]

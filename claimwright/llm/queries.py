@@ -97,9 +97,9 @@ def op12_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "conversations")
-    fixed = conversation_repair.repair(conversation_repair.damaged(rows))
+def repair_report(rows: DataFrame, **kw: int) -> DataFrame:
+    """Damaged and repaired conversations: counts, audit and digest of every conversation of ``rows``."""
+    fixed = conversation_repair.repair(conversation_repair.damaged(rows), **kw)
     convs = rows.select(F.col("conv_id").alias("conv")).distinct()
     audits = fixed.audits.withColumnRenamed("conv_id", "audit_conv")
     texts = conversation_repair.digests(fixed.turns).withColumnRenamed("conv_id", "text_conv")
@@ -111,6 +111,10 @@ def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_conversation_repair(spark: SparkSession, d: str) -> DataFrame:
+    return repair_report(_table(spark, d, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
