@@ -610,6 +610,10 @@ FROM cp""", "cp")
             # files that are ingested together have one load time, before the event feed's
             "l_shipdate + to_seconds(l_partkey) AS ingestion_timestamp",
             "TIMESTAMP '2001-01-01 00:00:00' AS ingestion_timestamp")
+    # in steps or at once: the rows are the same
+    q["claims_incremental"] = q["claims_processed"]
+    q["provider_stats_incremental"] = q["provider_stats"]
+    q["member_stats_incremental"] = q["member_stats"]
     q["claims_optional_feed"] = _with("""
 SELECT 'with feed' AS run, source_type, count(*) AS row_count FROM cu GROUP BY source_type
 UNION ALL SELECT 'without feed', 'batch', count(*) FROM cb""", "cu", "cb")
