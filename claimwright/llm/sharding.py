@@ -1,18 +1,18 @@
 """Sharding by a hierarchical weighted hash tree.
 
 A tree has regions, regions have racks, racks have shards; a node's weight is
-the sum of the weights of the shards below it.  A row descends the three
-levels: at each one every child draws ``ln(u) / weight`` with ``u`` a uniform
-hash of (key, child id), and the largest draw wins, so a child is chosen with
-probability weight / total.  A child's draw depends on the key, the child's id
-and its own weight only.  When weights below one child change, only that
-child's draw changes at its parent: rows move between that subtree and the
-others, never among the others.
-
-A shard that is added as a region of its own takes rows only into itself and
-leaves every other row in place; that is how :func:`grow` adds one.  (A shard
-added to an existing rack raises the weight of its rack and region too, so
-rows that move into that region may land on any of its shards.)
+the sum of the weights of the shards below it.  A shard's draw for a row is
+``-ln(u) / weight`` with ``u`` a uniform hash of (key, shard id).  A rack's draw
+is the least draw of its shards and a region's the least of its racks: the
+minimum of such draws is distributed like one draw with the summed weight, so
+each level has a weighted hash draw of its own.  A row descends the levels by
+the least draw, and a child is chosen with probability weight / total.
+
+A draw depends on the key, the shard's id and its own weight only.  When one
+shard's weight grows, rows move only into that shard, when it shrinks only out
+of it, whatever its place in the tree: no other subtree exchanges rows.  A shard
+more, in an existing rack or in a new one, takes rows only into itself, so the
+layout of n + 1 shards differs from that of n by exactly those rows.
 
 Everything is a column expression: no shuffle to place rows.  Slots need one:
 rows are numbered inside (shard, hash bucket of the key) cells of bounded
@@ -57,44 +57,50 @@ def grow(tree: list[Shard], weight: float = 1.0) -> list[Shard]:
                          1 + max(s.shard for s in tree), weight)]
 
 
-def _children(tree: list[Shard], level: str, parent: str | None) -> dict[int | None, dict[int, float]]:
-    """By parent node: its children and their summed weights."""
-    out: dict[int | None, dict[int, float]] = {}
-    for s in tree:
-        if s.weight > 0:
-            kids = out.setdefault(getattr(s, parent) if parent else None, {})
-            kids[getattr(s, level)] = kids.get(getattr(s, level), 0.0) + s.weight
+def _draw(key: Column, shard: Shard) -> Column:
+    bits = F.shiftrightunsigned(F.xxhash64(F.lit("shard"), F.lit(shard.shard), key), 11)
+    u = (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
+    return -F.ln(u) / F.lit(shard.weight)
+
+
+def _nodes(tree: list[Shard], level: str, parent: str | None) -> dict[int | None, dict[int, list[int]]]:
+    """By parent node: its children, each with the places of its shards in ``tree``."""
+    out: dict[int | None, dict[int, list[int]]] = {}
+    for place, s in enumerate(tree):
+        kids = out.setdefault(getattr(s, parent) if parent else None, {})
+        kids.setdefault(getattr(s, level), []).append(place)
     return out
 
 
-def _draw(key: Column, level: str, children: dict[int, float]) -> Column:
-    """The child with the largest weighted draw; equal draws: the smaller id."""
-    def one(node: int, weight: float) -> Column:
-        bits = F.shiftrightunsigned(F.xxhash64(F.lit(level), F.lit(node), key), 11)
-        u = (bits.cast("double") + F.lit(0.5)) / F.lit(float(1 << 53))
-        return F.struct((-F.ln(u) / F.lit(weight)).alias("draw"), F.lit(node).alias("node"))
+def _least(draws: Column, children: dict[int, list[int]]) -> Column:
+    """The child with the least draw; equal draws: the smaller id."""
+    def one(node: int, places: list[int]) -> Column:
+        below = [draws[p] for p in places]
+        return F.struct((F.least(*below) if len(below) > 1 else below[0]).alias("draw"), F.lit(node).alias("node"))
 
     if len(children) == 1:
         return F.lit(next(iter(children)))
-    return F.array_min(F.array(*[one(n, w) for n, w in sorted(children.items())]))["node"]
+    return F.array_min(F.array(*[one(n, p) for n, p in sorted(children.items())]))["node"]
 
 
-def _below(chosen: Column, key: Column, level: str, by_parent: dict) -> Column:
+def _below(chosen: Column, draws: Column, by_parent: dict) -> Column:
     out = None
     for parent, kids in sorted(by_parent.items()):
-        out = F.when(chosen == parent, _draw(key, level, kids)) if out is None else \
-            out.when(chosen == parent, _draw(key, level, kids))
+        out = F.when(chosen == parent, _least(draws, kids)) if out is None else out.when(chosen == parent, _least(draws, kids))
     return out
 
 
 def assign_shard(df: DataFrame, key: str, tree: list[Shard], name: str) -> DataFrame:
-    """``df`` with column ``name``: the shard of each row's key."""
+    """``df`` with column ``name``: the shard of each row's key.  Shards without weight get no rows."""
+    tree = [s for s in tree if s.weight > 0]
     k = F.coalesce(df[key], F.lit(0).cast(df.schema[key].dataType))
     k = F.struct(k, df[key].isNull())
-    df = df.withColumn("__region", _draw(k, "region", _children(tree, "region", None)[None]))
-    df = df.withColumn("__rack", _below(F.col("__region"), k, "rack", _children(tree, "rack", "region")))
-    df = df.withColumn(name, _below(F.col("__rack"), k, "shard", _children(tree, "shard", "rack")).cast("int"))
-    return df.drop("__region", "__rack")
+    df = df.withColumn("__draws", F.array(*[_draw(k, s) for s in tree]))
+    draws = F.col("__draws")
+    df = df.withColumn("__region", _least(draws, _nodes(tree, "region", None)[None]))
+    df = df.withColumn("__rack", _below(F.col("__region"), draws, _nodes(tree, "rack", "region")))
+    df = df.withColumn(name, _below(F.col("__rack"), draws, _nodes(tree, "shard", "rack")).cast("int"))
+    return df.drop("__draws", "__region", "__rack")
 
 
 def number_slots(df: DataFrame, shard: str, order: list[str], rows: int, name: str) -> DataFrame:

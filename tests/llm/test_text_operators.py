@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
@@ -327,13 +327,43 @@ def test_slots_of_a_key_with_a_third_of_the_rows(spark, monkeypatch):
 
 def test_weights_move_rows_only_with_their_subtree(spark):
     tree = H.layout(12, racks_per_region=2, shards_per_rack=2)
-    heavier = [H.Shard(s.region, s.rack, s.shard, 3.0 if s.rack == 1 else 1.0) for s in tree]
-    rack = {s.shard: s.rack for s in tree}
-    df = H.assign_shard(H.assign_shard(spark.range(5000), "id", tree, "a"), "id", heavier, "b")
-    region = {s.shard: s.region for s in tree}
-    moved = [(r.a, r.b) for r in df.collect() if r.a != r.b]
-    assert moved and all(region[b] == 0 for _, b in moved)  # only into the heavier region
-    assert all(rack[b] == 1 for a, b in moved if region[a] == 0)  # inside it, only into the heavier rack
+    df = spark.range(6000).select(F.col("id").alias("doc_id"))
+    for weight, into in ((3.0, True), (0.4, False), (0.0, False)):
+        changed = [H.Shard(s.region, s.rack, s.shard, weight if s.shard == 5 else 1.0) for s in tree]
+        both = H.assign_shard(H.assign_shard(df, "doc_id", tree, "old"), "doc_id", changed, "new").filter("old != new")
+        moved = {(r.old, r.new) for r in both.collect()}
+        assert moved and {(new if into else old) for old, new in moved} == {5}
+    sizes = {r.shard: r["count"] for r in H.assign_shard(df, "doc_id", [H.Shard(s.region, s.rack, s.shard, 1.0 + s.shard) for s in tree],
+                                                         "shard").groupBy("shard").count().collect()}
+    assert all(abs(sizes[s.shard] - 6000 * (1 + s.shard) / 78) < 5 * (6000 * (1 + s.shard) / 78) ** 0.5 for s in tree)
+
+
+def test_one_shard_more_takes_rows_only_into_itself_for_every_number(spark):
+    df = spark.range(3000).select(F.when(F.col("id") > 5, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    names = [f"s{n}" for n in range(1, 42)]
+    for n, name in enumerate(names, 1):
+        df = H.assign_shard(df, "doc_id", H.layout(n), name)
+        if n % 10 == 0:
+            df = df.checkpoint()
+    grown = {n: {r.doc_id: r.grown_shard for r in H.shard_documents(df.select("doc_id", "text"), n).collect()} for n in (8, 9, 23, 24, 25, 31)}
+    for r in df.collect():
+        for n in range(1, 41):
+            assert r[f"s{n + 1}"] in (r[f"s{n}"], n)
+        assert all(grown[n][r.doc_id] == r[f"s{n + 1}"] for n in grown)
+
+
+def test_shards_by_brute_force(spark, edge):
+    import math
+    import zlib
+    got = Counter((r.doc_id, r["size"], r.text_crc32, r.shard, r.grown_shard) for r in H.shard_documents(edge, 6).collect())
+    key = F.struct(F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull())
+    rows = edge.select("doc_id", "text", *[F.xxhash64(F.lit("shard"), F.lit(s), key).alias(f"h{s}") for s in range(7)]).collect()
+    want = Counter()
+    for r in rows:
+        draws = [-math.log((((r[f"h{s}"] % (1 << 64)) >> 11) + 0.5) / (1 << 53)) for s in range(7)]
+        raw = (r.text or "").encode()
+        want[r.doc_id, len(raw) + 8, zlib.crc32(raw), min(range(6), key=draws.__getitem__), min(range(7), key=draws.__getitem__)] += 1
+    assert got == want
 
 
 def test_queries_of_the_package_run(spark):
