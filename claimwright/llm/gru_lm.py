@@ -6,23 +6,26 @@ that are not held out.
 
 1. *Counts.*  One pass counts the tokens of all training texts; partial counts
    leave a task whenever its table is full, and an aggregate adds them up.
-2. *Symbols.*  The ``symbols`` most frequent tokens (the end among them) are the
-   network's symbols, every other token is the symbol *other*.  The most frequent
-   tokens (at most :data:`FREQUENT`) are broadcast with their counts; the counts of the rest of a text's tokens are joined.  A second
-   pass writes each text's symbols.
+2. *Symbols.*  The most frequent tokens (the end among them) are the network's
+   symbols, every other token is the symbol *other*.  Their number grows with the
+   square root of the number of distinct tokens.  The most frequent
+   tokens of up to :data:`SHORT` bytes (at most :data:`FREQUENT`) are broadcast
+   with their counts, so the broadcast has a bound in bytes; the counts of a
+   text's other tokens are joined.  A second pass writes each text's symbols.
 3. *Network* (numpy).  A gated recurrent unit over symbols with a class-factored
    softmax: p(symbol) = p(class | state) * p(symbol | class, state), the symbols
-   in order of frequency cut into classes of ``class_size``.  Biases start at
-   the counts' logarithms, so it starts as the unigram model.
-4. *Training.*  Truncated backpropagation: segments of ``windows`` windows of
-   ``window`` tokens, the state carried from window to window, the gradient not.
-   Each task learns from the training texts it reads, and the weights of all
-   tasks are averaged (weighted by tokens) by an aggregate, ``rounds`` times; a
-   task sends as many numbers as there are weights.  Every segment of every
-   training text is learned from once: text by text, they take turns between
-   the rounds.
-5. *Scores.*  Each text from its start to its end, the state carried all along.
-   Texts are read as parallel lanes, sorted by length.  A token that is *other*
+   in order of frequency cut into as many classes as a class has symbols.  Biases
+   start at the counts' logarithms, so it starts as the unigram model.
+4. *Training.*  Truncated backpropagation through windows of :data:`WINDOW`
+   tokens: the state is carried through a whole text, from window to window, the
+   gradient is not.  Lanes read texts side by side (:class:`Lanes`); a lane that
+   ends a text goes on with the next one, from a state of zero.  Each task learns
+   from the training texts it reads, and the weights of all tasks are averaged
+   (weighted by tokens) by an aggregate, ``rounds`` times; a task sends as many
+   numbers as there are weights.  Every training text is learned from once: its
+   own digest says in which round.
+5. *Scores.*  Each text from its start to its end, the state carried all along,
+   by the same lanes.  A token that is *other*
    counts p(other) * (c + 1) / (sum of (c + 1) over other tokens, and one for
    all unseen), so the model is a distribution over all tokens.
 
@@ -37,6 +40,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from math import isqrt
 from zlib import crc32
 
 import numpy as np
@@ -49,9 +53,13 @@ from claimwright.llm.common import map_texts, prepare, slices, stored
 
 #: The end token: no word holds white space.
 END = b"\n"
-SYMBOLS, CLASS_SIZE, HIDDEN = 1024, 32, 16
-FREQUENT = 200_000
-WINDOW, WINDOWS, LANES, ROUNDS, RATE = 16, 4, 512, 2, 0.01
+#: The network has max(LEAST_SYMBOLS, half the square root of the number of distinct tokens) symbols, at most MOST_SYMBOLS (16-bit numbers).
+LEAST_SYMBOLS, MOST_SYMBOLS, HIDDEN = 1024, 32_000, 16
+#: Tokens that are broadcast: their number and bytes.
+FREQUENT, SHORT = 200_000, 64
+WINDOW, LANES, ROUNDS, RATE = 16, 512, 2, 0.01
+#: Symbols that a lane holds ready, and weights that a task sends in one row.
+READY, SENT = 1024, 4096
 #: Distinct tokens that a counting task holds, and tokens that are scored together.
 COUNTED, SCORED = 200_000, 3_000_000
 
@@ -113,25 +121,26 @@ def _least_frequent(counts: DataFrame) -> int:
 # --- network -----------------------------------------------------------------
 
 class GRU:
-    """Weights of the network; symbol ``n`` is *other*."""
+    """Weights of the network; symbol ``n`` is *other*.  The last row of the output weights is the bias."""
 
-    NAMES = ("x", "u", "class_w", "class_b", "word_w", "word_b")
+    NAMES = ("x", "u", "class_w", "word_w")
 
-    def __init__(self, counts: np.ndarray, class_size: int = CLASS_SIZE, hidden: int = HIDDEN, seed: int = 3):
+    def __init__(self, counts: np.ndarray, hidden: int = HIDDEN, seed: int = 3):
         """``counts`` of the symbols, *other* last."""
         rng = np.random.default_rng(seed)
-        self.n, self.size, self.hidden = len(counts), class_size, hidden
-        self.classes = -(-self.n // class_size)
-        p = np.full(self.classes * class_size, 1e-30)
+        self.n, self.hidden = len(counts), hidden
+        self.size = max(1, isqrt(self.n - 1) + 1 if self.n else 1)
+        self.classes = max(1, -(-self.n // self.size))
+        p = np.full(self.classes * self.size, 1e-30)
         p[:self.n] = np.maximum(counts, 0.5)
-        p = (p / p.sum()).reshape(self.classes, class_size)
+        p = (p / p.sum()).reshape(self.classes, self.size)
         f = np.float32
         self.x = rng.normal(0, 0.3, (self.n + 1, 3 * hidden)).astype(f)  # row n: before the first token
         self.u = rng.normal(0, hidden ** -0.5, (hidden, 3 * hidden)).astype(f)
-        self.class_w = np.zeros((hidden, self.classes), dtype=f)
-        self.class_b = np.log(p.sum(axis=1)).astype(f)
-        self.word_w = np.zeros((self.classes, hidden, class_size), dtype=f)
-        self.word_b = np.log(p / p.sum(axis=1, keepdims=True)).astype(f)
+        self.class_w = np.zeros((hidden + 1, self.classes), dtype=f)
+        self.class_w[-1] = np.log(p.sum(axis=1))
+        self.word_w = np.zeros((self.classes, hidden + 1, self.size), dtype=f)
+        self.word_w[:, -1] = np.log(p / p.sum(axis=1, keepdims=True))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -143,163 +152,210 @@ class GRU:
             setattr(self, n, flat[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def step(self, h: np.ndarray, last: np.ndarray):
-        """The next state of each lane, with what the gradient needs."""
-        k = self.hidden
-        gx, gh = self.x[last], h @ self.u
-        rz = _sigmoid(gx[:, :2 * k] + gh[:, :2 * k])
-        r, z = rz[:, :k], rz[:, k:]
-        c = np.tanh(gx[:, 2 * k:] + r * gh[:, 2 * k:])
-        return h + z * (c - h), (h, r, z, c, gh[:, 2 * k:])
-
-    def output(self, h: np.ndarray, want: np.ndarray, grads: dict | None = None):
-        """ln p of each wanted symbol; with ``grads``, also adds the loss's gradients and returns that of h."""
+    def states(self, h: np.ndarray, last: np.ndarray, goes_on: np.ndarray, steps: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The last state, and all states with a 1 behind (time x lanes x hidden + 1).
+
+        ``goes_on`` is 0 where a text begins.  ``steps`` gets what the gradient needs.
+        """
+        k, half = self.hidden, np.float32(0.5)
+        out = np.ones((*last.shape, k + 1), dtype=np.float32)
+        given = self.x[last]
+        for t in range(len(last)):
+            h = h * goes_on[t][:, None]
+            gh = h @ self.u
+            rz = given[t, :, :2 * k]
+            rz += gh[:, :2 * k]
+            rz *= half  # the logistic function by tanh
+            np.tanh(rz, out=rz)
+            rz *= half
+            rz += half
+            r, z = rz[:, :k], rz[:, k:]
+            c = given[t, :, 2 * k:]
+            c += r * gh[:, 2 * k:]
+            np.tanh(c, out=c)
+            if steps is not None:
+                steps.append((h, r, z, c, gh[:, 2 * k:]))
+            h = h + z * (c - h)
+            out[t, :, :k] = h
+        return h, out
+
+    def output(self, h: np.ndarray, want: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """ln p of each wanted symbol; with ``grads``, also sets the loss's gradients and returns that of the states."""
+        rows = np.arange(len(want))
         cls, word = np.divmod(want, self.size)
-        rows = np.arange(len(h))
-        pc, logp = _softmax(h @ self.class_w + self.class_b, rows, cls, grads is not None)
-        order = np.argsort(cls, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(cls[order]) != 0, True]) if len(cls) else [0]
-        back = None
-        if grads is not None:
-            pc[rows, cls] -= 1
-            grads["class_w"] += h.T @ pc
-            grads["class_b"] += pc.sum(axis=0)
-            back = pc @ self.class_w.T
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            some = order[a:b]
-            c, hs, ws, n = cls[some[0]], h[some], word[some], np.arange(b - a)
-            pw, lw = _softmax(hs @ self.word_w[c] + self.word_b[c], n, ws, grads is not None)
-            logp[some] += lw
-            if grads is not None:
-                pw[n, ws] -= 1
-                grads["word_w"][c] += hs.T @ pw
-                grads["word_b"][c] += pw.sum(axis=0)
-                back[some] += pw @ self.word_w[c].T
+        pc, logp = _softmax(h @ self.class_w, rows, cls)
+        # Rows in order of their class: one product for each class.
+        order = np.argsort(cls.astype(np.int16), kind="stable")
+        sorted_cls, hs, ws = cls[order], h[order], word[order]
+        cuts = np.flatnonzero(np.r_[True, sorted_cls[1:] != sorted_cls[:-1], True])
+        z = np.empty((len(want), self.size), dtype=np.float32)
+        parts = [(int(sorted_cls[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(want) else []
+        for c, a, b in parts:
+            np.matmul(hs[a:b], self.word_w[c], out=z[a:b])
+        pw, lw = _softmax(z, rows, ws)
+        logp[order] += lw
+        if grads is None:
+            return logp, None
+        pc[rows, cls] -= 1
+        pw[rows, ws] -= 1
+        grads["class_w"] = h.T @ pc
+        grads["word_w"] = np.zeros_like(self.word_w)
+        back, back_w = pc @ self.class_w[:-1].T, np.empty((len(want), self.hidden), dtype=np.float32)
+        for c, a, b in parts:
+            np.matmul(hs[a:b].T, pw[a:b], out=grads["word_w"][c])
+            np.matmul(pw[a:b], self.word_w[c, :-1].T, out=back_w[a:b])
+        back[order] += back_w
         return logp, back
 
-    def window(self, h: np.ndarray, last: np.ndarray, want: np.ndarray, grads: dict) -> np.ndarray:
-        """Truncated backpropagation over one window (lanes x tokens; -1: none). Returns the last state."""
-        k, steps, states = self.hidden, [], []
-        for t in range(want.shape[1]):
-            h, kept = self.step(h, last[:, t])
-            steps.append(kept)
-            states.append(h)
-        live = want >= 0
-        flat = np.stack(states, axis=1)[live]
-        _, back = self.output(flat, want[live], grads)
-        d_out = np.zeros((*want.shape, k), dtype=np.float32)
-        d_out[live] = back
-        dh = np.zeros_like(h)
-        for t in reversed(range(want.shape[1])):
+    def window(self, h: np.ndarray, last: np.ndarray, want: np.ndarray, goes_on: np.ndarray, grads: dict) -> np.ndarray:
+        """Truncated backpropagation over one window (time x lanes; -1: none). Returns the last state."""
+        k, steps, shape = self.hidden, [], want.shape
+        h, out = self.states(h, last, goes_on, steps)
+        live, flat = want.ravel() >= 0, out.reshape(-1, k + 1)
+        d_out = np.zeros((want.size, k), dtype=np.float32)
+        _, d_out[live] = self.output(flat[live], want.ravel()[live], grads)
+        d_out = d_out.reshape(*shape, k)
+        dgx, dgh = np.empty((2, *shape, 3 * k), dtype=np.float32)
+        dh, back = np.zeros_like(h), np.ascontiguousarray(self.u.T)
+        for t in reversed(range(len(want))):
             before, r, z, c, gc = steps[t]
-            dh = dh + d_out[:, t]
-            dc = dh * z * (1 - c * c)
-            dz = dh * (c - before) * z * (1 - z)
-            dr = dc * gc * r * (1 - r)
-            dgh = np.concatenate([dr, dz, dc * r], axis=1)
-            dgx = np.concatenate([dr, dz, dc], axis=1)
-            grads["u"] += before.T @ dgh
-            _scatter(grads["x"], last[:, t], dgx)
-            dh = dh * (1 - z) + dgh @ self.u.T
+            dh = dh + d_out[t]
+            dhz = dh * z
+            x, y = dgx[t], dgh[t]
+            dc = x[:, 2 * k:]
+            np.multiply(dhz, 1 - c * c, out=dc)
+            x[:, k:2 * k] = dhz * (c - before) * (1 - z)
+            x[:, :k] = dc * gc * r * (1 - r)
+            y[:, :2 * k] = x[:, :2 * k]
+            y[:, 2 * k:] = dc * r
+            dh = (dh - dhz + y @ back) * goes_on[t][:, None]
+        grads["u"] = np.concatenate([s[0] for s in steps]).T @ dgh.reshape(-1, 3 * k)
+        # Rows of x that occurred, and their sums.
+        ids, wide = last.ravel(), 3 * k
+        sums = np.bincount((ids[:, None] * wide + np.arange(wide)).ravel(), weights=dgx.ravel(), minlength=self.x.size)
+        used = np.flatnonzero(np.bincount(ids, minlength=self.n + 1))
+        grads["x"] = used, sums.reshape(-1, wide)[used].astype(np.float32)
         return h
 
 
-def _scatter(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    rows = rows[order]
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    into[rows[first]] += np.add.reduceat(values[order], first, axis=0)
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray, full: bool) -> tuple[np.ndarray | None, np.ndarray]:
-    """Probabilities of each row's entries (if ``full``) and the logarithm of the wanted one's.
+def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of each row's entries (in place of ``z``) and the logarithm of the wanted one's.
 
     Biases are logarithms of probabilities, so some entry is never far below 0;
     entries are capped instead of shifted by their maximum.
     """
-    z = np.minimum(z, 60)
-    e = np.exp(z)
-    total = e @ np.ones((z.shape[1], 1), dtype=e.dtype)
-    return e / total if full else None, z[rows, wanted] - np.log(total[:, 0])
+    np.minimum(z, np.float32(60), out=z)
+    own = z[rows, wanted]
+    np.exp(z, out=z)
+    total = z @ np.ones((z.shape[1], 1), dtype=z.dtype)
+    z /= total
+    return z, own - np.log(total[:, 0])
+
+
+class Lanes:
+    """Texts read side by side, window by window; a lane goes on with the next text where one ends."""
+
+    def __init__(self, lanes: int, start: int):
+        """``start`` is the symbol before a text's first."""
+        self.start = start
+        self.symbols = np.zeros((lanes, READY + WINDOW), dtype=np.int32)
+        self.owner = np.zeros_like(self.symbols)
+        self.goes_on = np.ones(self.symbols.shape, dtype=np.float32)
+        self.at, self.end = np.zeros((2, lanes), dtype=np.int64)
+        self.before = np.full(lanes, start, dtype=np.int32)
+        self.rest: list[tuple[int, np.ndarray] | None] = [None] * lanes
+
+    def fill(self, texts: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+        """Give lanes that run short their next symbols; says which lanes have any."""
+        for i in np.flatnonzero(self.end - self.at < WINDOW).tolist():
+            a, n = int(self.at[i]), int(self.end[i] - self.at[i])
+            for part in (self.symbols, self.owner, self.goes_on):
+                part[i, :n] = part[i, a:a + n].copy()
+            while n < READY:
+                begins = self.rest[i] is None
+                text = next(texts, None) if begins else self.rest[i]
+                if text is None:
+                    break
+                who, symbols = text
+                some = symbols[:READY - n]
+                span = slice(n, n + len(some))
+                self.symbols[i, span], self.owner[i, span], self.goes_on[i, span] = some, who, 1
+                if begins:
+                    self.goes_on[i, n] = 0
+                self.rest[i] = (who, symbols[len(some):]) if len(some) < len(symbols) else None
+                n += len(some)
+            self.at[i], self.end[i] = 0, n
+        return self.end > self.at
+
+    def drop(self, live: np.ndarray) -> None:
+        """Leave out lanes that have ended for good."""
+        for name in ("symbols", "owner", "goes_on", "at", "end", "before"):
+            setattr(self, name, getattr(self, name)[live])
+        self.rest = [r for r, stays in zip(self.rest, live) if stays]
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols before and wanted (-1: none), whether texts go on, and whose they are (time x lanes)."""
+        places = self.at[:, None] + np.arange(WINDOW)
+        rows = np.arange(len(places))[:, None]
+        there = places < self.end[:, None]
+        want = np.where(there, self.symbols[rows, places], -1)
+        goes_on = np.where(there, self.goes_on[rows, places], np.float32(1))
+        last = np.concatenate([self.before[:, None], want[:, :-1]], axis=1)
+        last[(goes_on == 0) | (last < 0)] = self.start
+        self.before = want[:, -1]
+        owner = self.owner[rows, places]
+        self.at = np.minimum(self.at + WINDOW, self.end)
+        return tuple(np.ascontiguousarray(x.T) for x in (last, want, goes_on, owner))
+
+
+def windows(texts: Iterator[tuple[int, np.ndarray]], net: GRU, lanes: int = LANES) -> Iterator[tuple[list, np.ndarray]]:
+    """A state holder ``[h]`` and each window of the texts; the consumer puts the next state into it."""
+    read, state = Lanes(lanes, net.n), [np.zeros((lanes, net.hidden), dtype=np.float32)]
+    while (live := read.fill(texts)).any():
+        if live.sum() < 0.8 * len(live):
+            read.drop(live)
+            state[0] = state[0][live]
+        yield state, read.take()
 
 
 class Learner:
-    """Adagrad over segments of texts."""
+    """Adagrad over windows of texts."""
 
     def __init__(self, net: GRU, rate: float = RATE):
         self.net, self.rate, self.tokens = net, rate, 0
         self.squares = {n: np.full_like(getattr(net, n), 1e-4) for n in GRU.NAMES}
 
-    def learn(self, segments: list[tuple[int, np.ndarray]]) -> None:
-        """``segments``: the symbol before and the symbols of each lane."""
-        net, lanes = self.net, len(segments)
-        want = np.full((lanes, WINDOW * WINDOWS), -1, dtype=np.int64)
-        last = np.full((lanes, WINDOW * WINDOWS), net.n, dtype=np.int64)
-        for i, (before, s) in enumerate(segments):
-            want[i, :len(s)] = s
-            last[i, 0] = before
-            last[i, 1:len(s)] = s[:-1]
-        h = np.zeros((lanes, net.hidden), dtype=np.float32)
-        for w in range(WINDOWS):
-            part = slice(w * WINDOW, (w + 1) * WINDOW)
-            n = int((want[:, part] >= 0).sum())
-            if not n:
-                break
-            grads = {name: np.zeros_like(getattr(net, name)) for name in GRU.NAMES}
-            h = net.window(h, last[:, part], want[:, part], grads)
+    def learn(self, texts: Iterator[np.ndarray], lanes: int = LANES) -> None:
+        net = self.net
+        for state, (last, want, goes_on, _) in windows(((0, t) for t in texts), net, lanes):
+            n = int((want >= 0).sum())
+            grads: dict = {}
+            state[0] = net.window(state[0], last, want, goes_on, grads)
             self.tokens += n
-            for name, g in grads.items():
-                g /= n ** 0.5
+            for name in GRU.NAMES:
+                rows, g = grads[name] if name == "x" else (slice(None), grads[name])
+                g *= np.float32(n ** -0.5)
                 np.clip(g, -1, 1, out=g)
-                self.squares[name] += g * g
-                p = getattr(net, name)
-                p -= self.rate * g / np.sqrt(self.squares[name])
+                squares = self.squares[name][rows] + g * g
+                self.squares[name][rows] = squares
+                getattr(net, name)[rows] -= np.float32(self.rate) * g / np.sqrt(squares)
 
 
-def segments(text: bytes, start: int, round_number: int, rounds: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The segments of a text's symbols whose turn this round is, each with the symbol before it.
-
-    Over all rounds each segment comes once; the text itself says where it
-    begins, so the order of the rows does not matter.
-    """
-    symbols, span = np.frombuffer(text, dtype="<i2").astype(np.int64), WINDOW * WINDOWS
-    first = (round_number + crc32(text)) % rounds
-    for at in range(first * span, len(symbols), rounds * span):
-        yield int(symbols[at - 1]) if at else start, symbols[at:at + span]
+def learned_in(text: bytes, rounds: int) -> int:
+    """The round in which a text's symbols are learned from: the text itself says it, so row order does not matter."""
+    return crc32(text) % rounds
 
 
 def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each text's symbols (each has one at least), the state carried through."""
     out = np.zeros(len(texts))
-    if not texts:
-        return out
-    order = np.argsort([-len(t) for t in texts], kind="stable")
-    lengths = np.array([len(texts[i]) for i in order])
-    starts = np.cumsum(lengths) - lengths
-    flat = np.concatenate([texts[i] for i in order]).astype(np.int64)
-    h = np.zeros((len(texts), net.hidden), dtype=np.float32)
-    last = np.full(len(texts), net.n, dtype=np.int64)
-    sums, t = np.zeros(len(texts)), 0
-    while t < lengths[0]:
-        states, wants, lanes = [], [], []
-        rows = 0
-        while t < lengths[0] and rows < 20_000:  # outputs of many steps at once
-            live = int(np.searchsorted(-lengths, -t, side="left"))  # lanes longer than t
-            h, last = h[:live], last[:live]
-            h, _ = net.step(h, last)
-            want = flat[starts[:live] + t]
-            states.append(h)
-            wants.append(want)
-            lanes.append(np.arange(live))
-            last, rows, t = want, rows + live, t + 1
-        logp, _ = net.output(np.concatenate(states), np.concatenate(wants))
-        sums += np.bincount(np.concatenate(lanes), weights=logp, minlength=len(texts))
-    out[order] = sums / np.log(10)
-    return out
+    longest = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    for state, (last, want, goes_on, owner) in windows(((i, texts[i]) for i in longest), net, min(LANES, max(1, len(texts)))):
+        state[0], states = net.states(state[0], last, goes_on)
+        live = want.ravel() >= 0
+        logp, _ = net.output(states.reshape(-1, net.hidden + 1)[live], want.ravel()[live])
+        out += np.bincount(owner.ravel()[live], weights=logp, minlength=len(texts))
+    return out / np.log(10)
 
 
 # --- Spark -------------------------------------------------------------------
@@ -345,28 +401,29 @@ def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: i
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = start.value
-        own = GRU(np.ones(model.n), model.size, model.hidden)
+        own = GRU(np.ones(model.n), model.hidden)
         own.load(model.flat())
-        learner, lanes = Learner(own), []
-        for batch in batches:
-            for value in batch.column(0):
-                for segment in segments(value.as_py(), own.n, round_number, rounds):
-                    lanes.append(segment)
-                    if len(lanes) == LANES:
-                        learner.learn(lanes)
-                        lanes = []
-        if lanes:
-            learner.learn(lanes)
+
+        def turns() -> Iterator[np.ndarray]:
+            for batch in batches:
+                some = [v.as_py() for v in batch.column(0)]
+                for text in sorted(some, key=len, reverse=True):  # long ones first: lanes end together
+                    if learned_in(text, rounds) == round_number:
+                        yield np.frombuffer(text, dtype="<i2")
+
+        learner = Learner(own)
+        learner.learn(turns())
         if learner.tokens:
             weights = own.flat().astype(np.float64) * learner.tokens
-            ids = np.arange(len(weights))
-            for a in range(0, len(weights), 1 << 14):
-                part = slice(a, a + (1 << 14))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array(weights[part]),
-                                                  pa.array(np.full(len(ids[part]), learner.tokens))], ["i", "w", "n"])
-
-    sent = rows.filter(~F.col("held_out")).select("symbols").mapInArrow(learn, "i long, w double, n long")
-    mean = sent.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")
+            cuts = range(0, len(weights), SENT)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cuts, pa.int64()), pa.array([weights[a:a + SENT] for a in cuts], pa.list_(pa.float64())),
+                 pa.array([learner.tokens] * len(cuts), pa.int64())], ["part", "w", "n"])
+
+    sent = rows.filter(~F.col("held_out")).select("symbols").mapInArrow(learn, "part long, w array<double>, n long")
+    # By number within a part: sums of a part's weights are one small group each.
+    numbered = sent.select("part", "n", F.posexplode("w").alias("i", "w"))
+    mean = numbered.groupBy((F.col("part") + F.col("i")).alias("i")).agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")
     if len(mean):
         net.load(mean["w"].to_numpy())
 
@@ -377,11 +434,12 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: i
     spark = docs.sparkSession
     counts = stored(token_counts(docs.filter(~held_out(docs[key], folds, fold)), text), "token-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    least = _least_frequent(counts)
-    top = sorted(counts.filter(F.col("c") >= least).collect(), key=lambda r: (-r.c, bytes(r.token)))
+    short = counts.filter(F.octet_length("token") <= SHORT)
+    least = _least_frequent(short)
+    top = sorted(short.filter(F.col("c") >= least).collect(), key=lambda r: (-r.c, bytes(r.token)))
     numbers = {bytes(r.token): i for i, r in enumerate(top)}
     shared = spark.sparkContext.broadcast((numbers, np.log10(np.array([r.c for r in top], dtype=np.float64) + 1)))
-    n_symbols = min(SYMBOLS, len(top))
+    n_symbols = min(len(top), MOST_SYMBOLS, max(LEAST_SYMBOLS, isqrt(distinct) // 2))
     symbol_counts = np.array([r.c for r in top[:n_symbols]] + [total - sum(r.c for r in top[:n_symbols])], dtype=np.float64)
 
     rows = _encode(docs, key, text, folds, fold, n_symbols, shared).withColumn("__row", F.monotonically_increasing_id())
@@ -390,9 +448,9 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: i
     for r in range(rounds):
         _train_round(spark, rows, net, r, rounds)
 
-    # Counts of the tokens that are not frequent: unseen ones add log10(0 + 1) = 0.
+    # Counts of the tokens that are not broadcast: unseen ones add log10(0 + 1) = 0.
     rare = rows.select("__row", F.explode("rare").alias("__t"))
-    held = counts.filter(F.col("c") < least)
+    held = counts.filter((F.col("c") < least) | (F.octet_length("token") > SHORT))
     found = rare.join(held, rare["__t"] == held["token"], "inner").groupBy("__row").agg(
         F.count(F.lit(1)).alias("__found"), F.sum(F.log10(F.col("c") + 1)).alias("__log"))
     scored = _scored(rows, net)

@@ -53,70 +53,144 @@ def test_lm_beats_the_base_on_held_out_texts(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_lm_score_without_training_by_brute_force(monkeypatch, edge, prose, prose_rows):
+    """Before it learns the network is the counts' unigram model, so every part of the score can be recomputed."""
+    monkeypatch.setattr(gru_lm, "LEAST_SYMBOLS", 30)
+    monkeypatch.setattr(gru_lm, "FREQUENT", 60)
+    for df, texts in ((prose_rows, list(enumerate(prose))), (edge, [(r.doc_id, r.text) for r in edge.collect()])):
+        train = Counter()
+        for i, t in texts:
+            if i is not None and crc32(str(i).encode()) % 7 != 2:
+                train.update(lm_tokens(t))
+        short = {w: c for w, c in train.items() if len(w.encode()) <= gru_lm.SHORT}
+        ranked = sorted(short, key=lambda w: (-short[w], w.encode()))
+        # tokens are broadcast by whole steps of frequency
+        step = lambda c: math.floor(math.log2(c) * 8)
+        sizes, taken = Counter(step(c) for c in short.values()), 0
+        for s in sorted(sizes, reverse=True):
+            if taken + sizes[s] > 60:
+                break
+            taken += sizes[s]
+        symbols = ranked[:min(taken, 30)]
+        counts = [train[w] for w in symbols] + [sum(train.values()) - sum(train[w] for w in symbols)]
+        p = np.maximum(counts, 0.5) / np.maximum(counts, 0.5).sum()
+        others = counts[-1] + len(train) - len(symbols) + 1
+        number = {w: i for i, w in enumerate(symbols)}
+        want = sorted(sum(math.log10(p[number[w]]) if w in number else math.log10(p[-1]) + math.log10((train[w] + 1) / others)
+                          for w in lm_tokens(t)) for _, t in texts)
+        got = sorted(r.score for r in gru_lm.lm_scores(df, rounds=0).collect())
+        assert np.allclose(got, want, rtol=2e-5)
+
+
 def net_and_texts():
     rng = np.random.default_rng(1)
-    net = gru_lm.GRU(rng.integers(1, 50, 11).astype(float), class_size=4, hidden=5)
-    net.class_w[:] = rng.normal(0, 1, net.class_w.shape)
-    net.word_w[:] = rng.normal(0, 1, net.word_w.shape)
-    return net, [rng.integers(0, 11, n) for n in (1, 7, 3, 40, 7)]
+    net = gru_lm.GRU(rng.integers(1, 50, 11).astype(float), hidden=5)
+    net.class_w[:-1] = rng.normal(0, 1, net.class_w[:-1].shape)
+    net.word_w[:, :-1] = rng.normal(0, 1, net.word_w[:, :-1].shape)
+    return net, [rng.integers(0, 11, n) for n in (1, 7, 3, 40, 7, 2100, 16, 17, 33)]
+
+
+def plain_states(net, text):
+    """States of one text, one token after the other, in double precision."""
+    k, h, last, out = net.hidden, np.zeros(net.hidden), net.n, []
+    x, u = net.x.astype(float), net.u.astype(float)
+    for s in text:
+        gx, gh = x[last], h @ u
+        r, z = (1 / (1 + np.exp(-(gx[i * k:(i + 1) * k] + gh[i * k:(i + 1) * k]))) for i in (0, 1))
+        h = h + z * (np.tanh(gx[2 * k:] + r * gh[2 * k:]) - h)
+        out.append(h)
+        last = s
+    return out
+
+
+def plain_score(net, text):
+    total = 0.0
+    for h, s in zip(plain_states(net, text), text):
+        h = np.append(h, 1.0)
+        for z, i in ((h @ net.class_w, s // net.size), (h @ net.word_w[s // net.size], s % net.size)):
+            total += z[i] - np.log(np.exp(z).sum())
+    return total
 
 
 def test_lm_is_a_distribution_over_symbols():
     net, _ = net_and_texts()
-    h = np.random.default_rng(2).normal(0, 1, (6, 5)).astype(np.float32)
+    h = np.c_[np.random.default_rng(2).normal(0, 1, (6, 5)), np.ones(6)].astype(np.float32)
     total = sum(np.exp(net.output(h, np.full(6, s))[0]) for s in range(11))
     assert np.allclose(total, 1, atol=1e-4)
 
 
-def test_lm_carries_the_state_through_the_text():
+@pytest.mark.parametrize("lanes", [1, 2, 4, 512])
+def test_lm_carries_the_state_through_the_text(monkeypatch, lanes):
+    monkeypatch.setattr(gru_lm, "LANES", lanes)
     net, texts = net_and_texts()
     got = gru_lm.score_texts(net, texts)
     for text, score in zip(texts, got):
-        h, last, want = np.zeros((1, 5), dtype=np.float32), np.array([net.n]), 0.0
-        for s in text:
-            h, _ = net.step(h, last)
-            want += net.output(h, np.array([s]))[0][0]
-            last = np.array([s])
-        assert abs(score - want / math.log(10)) < 1e-3
+        assert abs(score - plain_score(net, text) / math.log(10)) < 1e-3 * len(text)
+    assert gru_lm.score_texts(net, []).tolist() == []
+
+
+@pytest.mark.parametrize("lanes", [1, 3, 16])
+def test_lm_lanes_read_every_symbol_once(lanes):
+    rng = np.random.default_rng(lanes)
+    texts = [rng.integers(0, 11, n) for n in (5, 1, 3000, 16, 64, 1024, 1025, 1040, 2, 7)]
+    net = gru_lm.GRU(np.ones(11), hidden=2)
+    read = [[] for _ in texts]
+    for state, (last, want, goes_on, owner) in gru_lm.windows(enumerate(texts), net, lanes):
+        assert len(state[0]) == want.shape[1]
+        for t, lane in zip(*np.nonzero(want >= 0)):
+            who = owner[t, lane]
+            assert (goes_on[t, lane] == 0) == (not read[who])
+            assert last[t, lane] == (read[who][-1] if read[who] else net.n)
+            read[who].append(int(want[t, lane]))
+    assert read == [t.tolist() for t in texts]
 
 
-@pytest.mark.parametrize("rounds", [1, 2, 3])
-def test_lm_learns_from_every_segment_once(rounds):
-    for length in (1, 64, 65, 1000):
-        text = np.arange(length).astype("<i2")
-        parts = sorted(((int(s[0]), before, s.tolist()) for r in range(rounds)
-                        for before, s in gru_lm.segments(text.tobytes(), -9, r, rounds)))
-        assert [x for _, _, s in parts for x in s] == list(range(length))
-        assert [b for _, b, _ in parts] == [-9] + [at - 1 for at, _, _ in parts[1:]]
+def test_lm_learns_from_every_text_in_one_round(prose):
+    for rounds in (1, 2, 3):
+        assert {gru_lm.learned_in(t.encode(), rounds) for t in prose} <= set(range(rounds))
+
+
+def test_lm_training_lowers_the_loss():
+    rng = np.random.default_rng(4)
+    texts = [np.array([(i + k) % 7 for k in range(rng.integers(20, 60))]) for i in range(200)]  # a cycle: only the state tells
+    net = gru_lm.GRU(np.bincount(np.concatenate(texts), minlength=11).astype(float), hidden=8)
+    before = gru_lm.score_texts(net, texts).sum()
+    learner = gru_lm.Learner(net, rate=0.1)
+    for _ in range(20):
+        learner.learn(iter(texts), lanes=16)
+    assert learner.tokens == 20 * sum(map(len, texts))
+    assert gru_lm.score_texts(net, texts).sum() > 0.3 * before
 
 
 def test_lm_gradients_agree_with_differences():
     net, texts = net_and_texts()
     for n in net.NAMES:
         setattr(net, n, getattr(net, n).astype(np.float64))
-    want = np.stack([t[:3] for t in texts if len(t) >= 3])
-    last = np.hstack([np.full((len(want), 1), net.n), want[:, :-1]])
+    text = np.concatenate([texts[3][:5], texts[1][:4]])[:, None]  # a lane in which a second text begins
+    goes_on = np.ones(text.shape)
+    goes_on[[0, 5]] = 0
+    last = np.r_[[[net.n]], text[:-1]]
+    last[5] = net.n
+    grads = {}
 
     def loss():
-        h, out = np.zeros((len(want), 5)), 0.0
-        for t in range(3):
-            h, _ = net.step(h, last[:, t])
-            out -= net.output(h, want[:, t])[0].sum()
-        return out
-
-    grads = {n: np.zeros_like(getattr(net, n)) for n in net.NAMES}
-    net.window(np.zeros((len(want), 5)), last, want, grads)
-    rng = np.random.default_rng(4)
+        return -(plain_score(net, text[:5, 0]) + plain_score(net, text[5:, 0]))
+
+    net.window(np.zeros((1, 5)), last, text, goes_on, grads)
+    rows, some = grads["x"]
+    grads["x"] = np.zeros_like(net.x)
+    grads["x"][rows] = some
     for n in net.NAMES:
-        flat, g = getattr(net, n).reshape(-1), grads[n].reshape(-1)
-        for i in rng.choice(flat.size, 6):
-            keep, eps = flat[i], 1e-4
-            flat[i] = keep + eps
+        p, g = getattr(net, n), grads[n]
+        for i in np.random.default_rng(3).integers(0, p.size, 25):
+            at = np.unravel_index(i, p.shape)
+            old = p[at]
+            p[at] = old + 1e-5
             up = loss()
-            flat[i] = keep - eps
+            p[at] = old - 1e-5
             down = loss()
-            flat[i] = keep
-            assert abs((up - down) / (2 * eps) - g[i]) < 1e-2 * max(1, abs(g[i]))
+            p[at] = old
+            assert abs((up - down) / 2e-5 - g[at]) < 1e-3 * max(1, abs(g[at])), (n, at)
 
 
 # --- 8: quality --------------------------------------------------------------
@@ -276,3 +350,27 @@ def test_pipeline_near_copies_of_rows_without_a_unique_id(spark):
     assert out.columns == docs.columns
     kept = [(r.doc_id, next(i for i, g in enumerate(groups) if r.text in g)) for r in out.collect()]
     assert sorted(kept, key=repr) == sorted([(3, 0), (4, 1), (6, 2), (None, 3), (2, 4)], key=repr)
+
+
+ODD_NAMES = ["__sha", "__id", "__doc", "__row", "a.b", "`tick`", "doc", "row", "sha", "c0", "text_sha256", "predicted", "n_hit", " "]
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, edge, none):
+    odd = edge.select(F.lit(1).alias("LANG"), "doc_id", "text", *[F.concat(F.lit(f"{n}="), F.coalesce(F.col("doc_id").cast("string"), F.lit("~"))).alias(n) for n in ODD_NAMES])
+    before = {tuple(r) for r in odd.collect()}
+    for docs in (odd, odd.limit(0)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF_SMALL)
+            assert out.columns == odd.columns, name
+            assert {tuple(r) for r in out.collect()} <= (before if docs is odd else set()), name
+        assert corpus_pipeline.encode(spark, docs, SF_SMALL).count() == docs.count()
+
+
+def test_pipeline_stages_with_names_that_differ_in_case(spark, edge):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        odd = edge.select("doc_id", "text", F.lit("x").alias("TEXT"), F.lit(5).alias("Doc_Id"))
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, odd, SF_SMALL).columns == ["doc_id", "text", "TEXT", "Doc_Id"], name
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
