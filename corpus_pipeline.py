@@ -7,8 +7,9 @@ Between stages the rows are written as Parquet and read again.
 
 Defined cases: rows without an id, and rows that share one, are judged by their
 text like any other; of near copies the smallest id stays, a row without id only
-if none has one; documents may have further columns under any name (they are
-carried in one struct while operators run).
+if none has one; documents may have further columns under any name (inside a
+stage columns are known by their position and carried in one struct, so no name
+can clash with a stage's or an operator's, and none has to be quoted).
 """
 
 from __future__ import annotations
@@ -29,52 +30,66 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """Each row as one struct, beside the text that an operator reads."""
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__doc"), docs["text"].alias("__body"))
+class _Rows:
+    """Documents with their columns by position: ``doc`` is the whole row, beside its id and text."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        places = [f"c{i}" for i in range(len(self.names))]
+        key, text = (places[self.names.index(name)] for name in ("doc_id", "text"))
+        self.rows = docs.toDF(*places).select(F.struct(*places).alias("doc"), F.col(key).alias("doc_id"), F.col(text).alias("text"))
+
+    def texts(self) -> DataFrame:
+        return self.rows.select("doc_id", "text")
+
+    def restored(self, rows: DataFrame) -> DataFrame:
+        """The documents of rows that have ``doc``, under their own names."""
+        return rows.select("doc.*").toDF(*self.names)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, trained on these documents' labels, does not reject."""
-    model, vectors = quality.train(docs, _table(spark, sf_dir, "labels"))
-    scored = quality.classify(_packed(docs), model, vectors, text="__body", keep=["__doc"])
-    return scored.filter("predicted = 1").select("__doc.*")
+    own = _Rows(docs)
+    model, vectors = quality.train(own.texts(), _table(spark, sf_dir, "labels"))
+    scored = quality.classify(own.rows, model, vectors, text="text", keep=["doc"])
+    return own.restored(scored.filter("predicted = 1"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text: the row that exact de-duplication keeps."""
-    named = stored(exact.exact_dedup(docs), "pipeline-copies")
-    kept = named.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept_sha"))
-    rows = docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    own = _Rows(docs)
+    named = stored(exact.exact_dedup(own.texts()), "pipeline-copies")
+    kept = named.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    rows = own.rows.select("doc", "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha"))
     # By id and digest: copies of a text are spread by their ids.
-    rows = rows.join(kept, docs["doc_id"].eqNullSafe(kept["__id"]) & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (rows["sha"] == kept["kept_sha"]), "left_semi")
     if not named.groupBy("doc_id", "text_sha256").count().filter("count > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id", "__sha"])  # rows repeated as a whole
-    return rows.drop("__sha")
+        rows = rows.dropDuplicates(["doc_id", "sha"])  # rows repeated as a whole
+    return own.restored(rows)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each SimHash component: the one with the smallest id, null last; the first of equal ids."""
+    own = _Rows(docs)
     # Rows are told apart by a number, not by their id; stored, so that it stays the same.
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__doc"), F.monotonically_increasing_id().alias("__row"))
-    rows = stored(rows, "pipeline-numbered")
-    name = F.struct(F.col("__doc.doc_id").isNull().alias("no_id"), F.col("__doc.doc_id").alias("id"), F.col("__row").alias("row"))
-    near = simhash.simhash_dedup(rows.select(name.alias("__name"), F.col("__doc.text").alias("__body")),
-                                 key="__name", text="__body", shingle=3, max_distance=2)
-    gone = stored(near.filter(F.col("__name.row") != F.col("component_id.row")).select(F.col("__name.row").alias("__gone")),
+    rows = stored(own.rows.withColumn("row", F.monotonically_increasing_id()), "pipeline-numbered")
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
+    near = simhash.simhash_dedup(rows.select(name.alias("name"), "text"), key="name", text="text", shingle=3, max_distance=2)
+    gone = stored(near.filter(F.col("name.row") != F.col("component_id.row")).select(F.col("name.row").alias("gone")),
                   "pipeline-near-copies")
-    return rows.join(gone, rows["__row"] == gone["__gone"], "left_anti").select("__doc.*")
+    return own.restored(rows.join(gone, rows["row"] == gone["gone"], "left_anti"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold less of the benchmark's windows than the contamination rule asks for."""
-    found = decontamination.decontaminate(_packed(docs), _table(spark, sf_dir, "benchmark"), text="__body", keep=["__doc"])
-    return found.filter(~F.col("contaminated")).select("__doc.*")
+    own = _Rows(docs)
+    found = decontamination.decontaminate(own.rows, _table(spark, sf_dir, "benchmark"), text="text", keep=["doc"])
+    return own.restored(found.filter(~F.col("contaminated")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded text."""
-    return coded_digests(docs)
+    return coded_digests(_Rows(docs).texts())
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
