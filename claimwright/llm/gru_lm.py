@@ -58,6 +58,8 @@ LEAST_SYMBOLS, MOST_SYMBOLS, HIDDEN = 1024, 32_000, 16
 #: Tokens that are broadcast: their number and bytes.
 FREQUENT, SHORT = 200_000, 64
 WINDOW, LANES, ROUNDS, RATE = 16, 512, 2, 0.01
+#: No output's exponent is larger.
+CAP = 60
 #: Symbols that a lane holds ready, and weights that a task sends in one row.
 READY, SENT = 1024, 4096
 #: Distinct tokens that a counting task holds, and tokens that are scored together.
@@ -183,7 +185,8 @@ class GRU:
         """ln p of each wanted symbol; with ``grads``, also sets the loss's gradients and returns that of the states."""
         rows = np.arange(len(want))
         cls, word = np.divmod(want, self.size)
-        pc, logp = _softmax(h @ self.class_w, rows, cls)
+        full = grads is not None
+        pc, logp = _softmax(h @ self.class_w, rows, cls, full, self.class_w)
         # Rows in order of their class: one product for each class.
         order = np.argsort(cls.astype(np.int16), kind="stable")
         sorted_cls, hs, ws = cls[order], h[order], word[order]
@@ -192,9 +195,9 @@ class GRU:
         parts = [(int(sorted_cls[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(want) else []
         for c, a, b in parts:
             np.matmul(hs[a:b], self.word_w[c], out=z[a:b])
-        pw, lw = _softmax(z, rows, ws)
+        pw, lw = _softmax(z, rows, ws, full, self.word_w)
         logp[order] += lw
-        if grads is None:
+        if not full:
             return logp, None
         pc[rows, cls] -= 1
         pw[rows, ws] -= 1
@@ -238,17 +241,20 @@ class GRU:
         return h
 
 
-def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of each row's entries (in place of ``z``) and the logarithm of the wanted one's.
+def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray, full: bool, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's probabilities (in place of ``z``, if ``full``) and the logarithm of the wanted one's.
 
     Biases are logarithms of probabilities, so some entry is never far below 0;
-    entries are capped instead of shifted by their maximum.
+    entries are not shifted by their maximum, but capped where the ``weights``
+    (states lie between -1 and 1) could make them large.
     """
-    np.minimum(z, np.float32(60), out=z)
+    if np.abs(weights[..., :-1, :]).sum(axis=-2).max(initial=0) > CAP:
+        np.minimum(z, np.float32(CAP), out=z)
     own = z[rows, wanted]
     np.exp(z, out=z)
     total = z @ np.ones((z.shape[1], 1), dtype=z.dtype)
-    z /= total
+    if full:
+        z /= total
     return z, own - np.log(total[:, 0])
 
 
