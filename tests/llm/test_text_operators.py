@@ -339,17 +339,18 @@ def test_weights_move_rows_only_with_their_subtree(spark):
 
 
 def test_one_shard_more_takes_rows_only_into_itself_for_every_number(spark):
-    df = spark.range(3000).select(F.when(F.col("id") > 5, F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
-    names = [f"s{n}" for n in range(1, 42)]
-    for n, name in enumerate(names, 1):
-        df = H.assign_shard(df, "doc_id", H.layout(n), name)
-        if n % 10 == 0:
-            df = df.checkpoint()
-    grown = {n: {r.doc_id: r.grown_shard for r in H.shard_documents(df.select("doc_id", "text"), n).collect()} for n in (8, 9, 23, 24, 25, 31)}
-    for r in df.collect():
-        for n in range(1, 41):
-            assert r[f"s{n + 1}"] in (r[f"s{n}"], n)
-        assert all(grown[n][r.doc_id] == r[f"s{n + 1}"] for n in grown)
+    """Shards by the tree equal the least of all draws, so for every number the next one only adds a draw."""
+    import math
+    df = spark.range(400).select(F.when(F.col("id") > 5, F.col("id")).alias("doc_id")).coalesce(1)
+    key = F.struct(F.coalesce("doc_id", F.lit(0).cast("long")), F.col("doc_id").isNull())
+    draws = {r.doc_id: [-math.log(((h % (1 << 64)) >> 11) + 0.5) for h in r.h] for r in
+             df.select("doc_id", F.array(*[F.xxhash64(F.lit("shard"), F.lit(s), key) for s in range(41)]).alias("h")).collect()}
+    for n in [*range(7, 41, 4), 24, 25]:
+        tree = H.layout(n)
+        both = H.assign_shard(H.assign_shard(df, "doc_id", tree, "shard"), "doc_id", H.grow(tree), "grown")
+        for r in both.collect():
+            first = draws[r.doc_id]
+            assert (r.shard, r.grown) == (min(range(n), key=first.__getitem__), min(range(n + 1), key=first.__getitem__))
 
 
 def test_shards_by_brute_force(spark, edge):
