@@ -57,7 +57,7 @@ END = b"\n"
 LEAST_SYMBOLS, MOST_SYMBOLS, HIDDEN = 1024, 32_000, 16
 #: Tokens that are broadcast: their number and bytes.
 FREQUENT, SHORT = 200_000, 64
-WINDOW, LANES, ROUNDS, RATE = 16, 512, 2, 0.01
+WINDOW, LANES, SCORED_LANES, ROUNDS, RATE = 16, 512, 1024, 2, 0.01
 #: No output's exponent is larger.
 CAP = 60
 #: Symbols that a lane holds ready, and weights that a task sends in one row.
@@ -159,18 +159,19 @@ class GRU:
 
         ``goes_on`` is 0 where a text begins.  ``steps`` gets what the gradient needs.
         """
-        k, half = self.hidden, np.float32(0.5)
+        k = self.hidden
         out = np.ones((*last.shape, k + 1), dtype=np.float32)
         given = self.x[last]
+        np.seterr(over="ignore")
         for t in range(len(last)):
             h = h * goes_on[t][:, None]
             gh = h @ self.u
             rz = given[t, :, :2 * k]
             rz += gh[:, :2 * k]
-            rz *= half  # the logistic function by tanh
-            np.tanh(rz, out=rz)
-            rz *= half
-            rz += half
+            np.negative(rz, out=rz)  # the logistic function; a large exponent gives 0
+            np.exp(rz, out=rz)
+            rz += 1
+            np.reciprocal(rz, out=rz)
             r, z = rz[:, :k], rz[:, k:]
             c = given[t, :, 2 * k:]
             c += r * gh[:, 2 * k:]
@@ -356,7 +357,7 @@ def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each text's symbols (each has one at least), the state carried through."""
     out = np.zeros(len(texts))
     longest = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for state, (last, want, goes_on, owner) in windows(((i, texts[i]) for i in longest), net, min(LANES, max(1, len(texts)))):
+    for state, (last, want, goes_on, owner) in windows(((i, texts[i]) for i in longest), net, min(SCORED_LANES, max(1, len(texts)))):
         state[0], states = net.states(state[0], last, goes_on)
         live = want.ravel() >= 0
         logp, _ = net.output(states.reshape(-1, net.hidden + 1)[live], want.ravel()[live])

@@ -121,7 +121,7 @@ def test_lm_is_a_distribution_over_symbols():
 
 @pytest.mark.parametrize("lanes", [1, 2, 4, 512])
 def test_lm_carries_the_state_through_the_text(monkeypatch, lanes):
-    monkeypatch.setattr(gru_lm, "LANES", lanes)
+    monkeypatch.setattr(gru_lm, "SCORED_LANES", lanes)
     net, texts = net_and_texts()
     got = gru_lm.score_texts(net, texts)
     for text, score in zip(texts, got):
