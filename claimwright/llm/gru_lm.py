@@ -57,7 +57,7 @@ END = b"\n"
 LEAST_SYMBOLS, MOST_SYMBOLS, HIDDEN = 1024, 32_000, 16
 #: Tokens that are broadcast: their number and bytes.
 FREQUENT, SHORT = 200_000, 64
-WINDOW, LANES, SCORED_LANES, ROUNDS, RATE = 16, 512, 1024, 2, 0.01
+WINDOW, LANES, SCORED_LANES, ROUNDS, RATE = 16, 512, 512, 2, 0.01
 #: No output's exponent is larger.
 CAP = 60
 #: Symbols that a lane holds ready, and weights that a task sends in one row.
