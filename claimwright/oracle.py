@@ -557,6 +557,7 @@ SELECT member_id, member_claim_frequency, CAST(member_total_claims AS DOUBLE) AS
 SELECT provider_id, provider_name, provider_is_active, CAST(specialty_count AS BIGINT) AS specialty_count,
        CAST(location_count AS BIGINT) AS location_count, last_verified FROM psum""", "psum")
     q["claims_enriched"] = _with(f"SELECT {_ENRICHED_OUT} FROM ce", "ce")
+    q["claims_enriched_bucketed"] = q["claims_enriched"]
     q["fraud_score"] = _with("""
 SELECT claim_id, member_id, provider_id, CAST(claim_amount AS DOUBLE) AS claim_amount, avg_claim_amount,
        provider_reputation_score, member_claim_frequency, amount_deviation,
@@ -565,6 +566,9 @@ SELECT claim_id, member_id, provider_id, CAST(claim_amount AS DOUBLE) AS claim_a
        CAST(volume_score AS BIGINT) AS volume_score, fraud_risk_score, risk_category, investigation_priority
 FROM ca""", "ca")
     q["monthly_claims_summary"] = _with("SELECT * FROM mcs", "mcs")
+    q["monthly_summary_positions"] = _with(
+        "SELECT *, row_number() OVER (ORDER BY claim_month NULLS FIRST, provider_name NULLS FIRST, "
+        "risk_category NULLS FIRST) AS position FROM mcs", "mcs")
     q["provider_performance"] = _with("""
 SELECT provider_id, provider_name, total_claims, CAST(total_claim_value AS DOUBLE) AS total_claim_value,
        avg_claim_amount, unique_members_served, avg_fraud_risk, high_risk_claims, medium_risk_claims,

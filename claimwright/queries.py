@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from claimwright.functions import sql_functions
 from claimwright.operators.expectations import expectation_metrics, stored_metrics, write_with_quarantine
 from claimwright.operators.materialize import materialize
+from claimwright.operators.ordered import store_ordered
 from claimwright.operators.ranking import global_row_number
-from claimwright.plans import gold, incremental, lineage, medallion, quality, silver
+from claimwright.plans import bucketed, gold, incremental, lineage, medallion, quality, silver
 from claimwright.session import scratch_path
 from claimwright.sources import testdata as TD
 from claimwright.sources.files import read_bronze, write_raw
@@ -288,6 +289,12 @@ def q_claims_enriched(spark: SparkSession, d: str) -> DataFrame:
     return comparable(gold.claims_enriched(claims, gold.store_dimensions(claims, members, providers)))
 
 
+def q_claims_enriched_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The enrichment from stored buckets: the member join moves no row."""
+    claims, members, providers = _silver_tables(spark, d)
+    return comparable(bucketed.store_bucketed(claims, gold.store_dimensions(claims, members, providers)).enriched())
+
+
 FRAUD_OUTPUT = ("claim_id", "member_id", "provider_id", "claim_amount", "avg_claim_amount",
                 "provider_reputation_score", "member_claim_frequency", "amount_deviation",
                 "amount_score", "days_diff", "timing_score", "provider_score", "volume_score",
@@ -323,6 +330,12 @@ def q_monthly_claims_summary(spark: SparkSession, d: str) -> DataFrame:
     return comparable(gold.monthly_claims_summary(_analytics(spark, d)))
 
 
+def q_monthly_summary_positions(spark: SparkSession, d: str) -> DataFrame:
+    """The monthly roll-up stored in its published order, with each row's place in it."""
+    summary = gold.monthly_claims_summary(_analytics(spark, d), sort=False)
+    return comparable(store_ordered(summary, gold.MONTHLY_ORDER, "monthly").positions())
+
+
 def q_provider_performance(spark: SparkSession, d: str) -> DataFrame:
     return comparable(gold.provider_performance(_analytics(spark, d)))
 
@@ -525,4 +538,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "claims_incremental": q_claims_incremental,
     "provider_stats_incremental": q_provider_stats_incremental,
     "member_stats_incremental": q_member_stats_incremental,
+    "claims_enriched_bucketed": q_claims_enriched_bucketed,
+    "monthly_summary_positions": q_monthly_summary_positions,
 }
