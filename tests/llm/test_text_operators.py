@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -249,6 +250,45 @@ def test_substring_dedup_long_texts_and_repeated_ids(edge):
     assert rows == [(7, 60_000, 0), (8, 6, 0), (8, 60_000, 60_000), (13, 60_001, 60_000)]
 
 
+@pytest.mark.parametrize("window,phrase,piece,words_of", [(5, 2, 64, 2), (6, 6, 3, 3), (8, 1, 1, 4), (20, 7, 5, 200)])
+def test_substring_dedup_repetitive_texts(spark, monkeypatch, window, phrase, piece, words_of):
+    monkeypatch.setattr(P, "PIECE", piece)
+    rng = random.Random(window)
+    shared = [[f"w{rng.randrange(words_of)}" for _ in range(40)] for _ in range(4)]
+    docs = []
+    for _ in range(60):
+        text: list[str] = []
+        for _ in range(rng.randrange(5)):
+            part = rng.choice(shared)
+            a = rng.randrange(20)
+            text += part[a:a + rng.randrange(1, 40)] * rng.choice([1, 1, 3]) + [f"w{rng.randrange(words_of)}"]
+        docs.append((rng.choice([None, *range(25)]), "  ".join(text)))  # ids repeat, with other texts and with none
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in P.substring_dedup(rows, window=window, phrase=phrase).collect()), key=repr)
+    assert got == kept_words(docs, window)
+
+
+def test_substring_dedup_rows_of_one_id_stay_apart(spark):
+    """A third of the rows under one id: equal results, and no row meets the anchors of the others."""
+    passages = [" ".join(f"p{i}x{j}" for j in range(60)) for i in range(30)]
+    docs = [(5, f"own{i} {p} end") for i, p in enumerate(passages)] + [(10 + i, f"{p} tail{i}") for i, p in enumerate(passages)]
+    docs += [(i % 3, f"clean{i} " + " ".join(f"c{i}y{j}" for j in range(60))) for i in range(30)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    out = P.substring_dedup(rows)
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    assert got == kept_words(docs, 50) and sum(r[2] for r in got) == 30 * 60
+
+
+def test_substring_dedup_result_comes_from_the_automaton(monkeypatch):
+    words_ = [f"w{i}" for i in range(80)]
+    text = " ".join(words_).encode()
+    passages = [[" ".join(words_[10:70]).encode(), " ".join(words_[:49] + ["other"]).encode()]]
+    removed = P._without(50, 16)([text], passages)
+    assert removed[2] == [60] and removed[3] == [hashlib.sha256(" ".join(words_[:10] + words_[70:]).encode()).hexdigest()]
+    monkeypatch.setattr(P.Automaton, "occurrences", lambda self, doc: [])
+    assert P._without(50, 16)([text], passages)[2] == [0]
+
+
 # --- 5: exact copies ---------------------------------------------------------
 
 @pytest.mark.parametrize("block_chars", [1, 7, 4096])
