@@ -18,8 +18,9 @@ moves the cursors of many short text segments at once, each by its own shift.
 *Scale.*  Documents stay where they are: one pass, no shuffle.  The benchmark
 is cut into pieces, pieces into blocks of at most about ``block_bytes``, and
 only one block's text is broadcast at a time, so its size is bounded.  If there
-are several blocks, each pass's hits are carried in the rows, written to the
-shared folder, and added to by the next pass.
+are several blocks, the documents are written once with row numbers, each block
+is searched for in a pass that writes the rows with hits alone (number, ranges,
+items), and the last pass joins these by number, unique and so without skew.
 
 Defined cases: null or empty texts have no words, no hits and are not
 contaminated; items without words have no window; items with a null id are
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimwright.llm.common import map_texts, prepare, stored
+from claimwright.session import scratch_path
 
 WINDOW = 13
 RESULTS = ("n_words", "n_hit", "n_items", "items", "contaminated")
@@ -48,6 +50,7 @@ BLOCK_BYTES = 2 << 20
 PIECE_WORDS = 4096
 #: Block length B of the shift table, and bytes of one cursor's segment.
 BLOCK, SEGMENT = 12, 512
+_ROW = "__decontaminate_row"
 
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -261,25 +264,34 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     keep = [c for c in keep or [key] if c not in RESULTS]
     blocks = stored(_blocks(stored(_pieces(benchmark, item, item_text, window), "pieces"), block_bytes), "blocks")
     numbers = sorted(r[0] for r in blocks.select("block").distinct().collect())
-    rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__body"),
-                       F.array().cast("array<int>").alias("__ranges"), F.array().cast("array<string>").alias("__items"))
-    fields = [T.StructField("n_words", T.LongType()), T.StructField("__new_ranges", T.ArrayType(T.IntegerType())),
-              T.StructField("__new_items", T.ArrayType(T.StringType()))]
-    for number in numbers or [None]:
-        block = [(r.item, r.piece.encode())
-                 for r in blocks.filter(F.col("block") == number).select("item", "piece").collect()] if numbers else []
-        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("__ranges", T.ArrayType(T.IntegerType())),
+              T.StructField("__items", T.ArrayType(T.StringType()))]
 
-        def make(shared=shared, name=name):
-            return _matcher(name, shared.value, window)
+    def searched(rows: DataFrame, number: int | None, carried: list[str]) -> DataFrame:
+        """The rows' hits in one block, whose text alone is broadcast."""
+        block = [(r.item, r.piece.encode()) for r in
+                 blocks.filter(F.col("block") == number).select("item", "piece").collect()] if number is not None else []
+        shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
+        return map_texts(rows, "__body", carried, fields, lambda: _matcher(name, shared.value, window))
 
-        carried = keep + ["__ranges", "__items"] + (["__body"] if number != (numbers or [None])[-1] else [])
-        found = map_texts(rows, "__body", carried, fields, make)
-        rows = found.withColumn("__ranges", F.concat("__ranges", "__new_ranges")).withColumn(
-            "__items", F.array_sort(F.array_union("__items", "__new_items"))).drop("__new_ranges", "__new_items")
-        if "__body" in carried:
-            rows = stored(rows.drop("n_words"), "decontaminate")
-            shared.unpersist()
+    rows = docs.select(*[docs[c] for c in keep], docs[text].alias("__body"))
+    if len(numbers) <= 1:
+        rows = searched(rows, numbers[0] if numbers else None, keep)
+    else:
+        # The texts are written once, with a number for each row; of a block's pass only rows with hits are.
+        rows = stored(rows.withColumn(_ROW, F.monotonically_increasing_id()), "decontaminate")
+        hits = scratch_path(spark, "table-llm-hits")
+        for number in numbers[:-1]:
+            found = searched(rows, number, [_ROW]).filter(F.size("__ranges") > 0)
+            found.select(_ROW, "__ranges", "__items").write.parquet(f"{hits}/block={number}")
+        earlier = spark.read.schema(rows.select(_ROW).schema.add(fields[1]).add(fields[2])).option("recursiveFileLookup", "true").parquet(hits)
+        earlier = earlier.groupBy(F.col(_ROW).alias("__of")).agg(
+            F.flatten(F.collect_list("__ranges")).alias("__more"), F.flatten(F.collect_list("__items")).alias("__named"))
+        last = searched(rows, numbers[-1], [*keep, _ROW])
+        none = F.array().cast("array<int>"), F.array().cast("array<string>")
+        rows = (last.join(earlier, last[_ROW] == earlier["__of"], "left")
+                .withColumn("__ranges", F.concat("__ranges", F.coalesce("__more", none[0])))
+                .withColumn("__items", F.array_sort(F.array_union("__items", F.coalesce("__named", none[1])))))
     return (rows.withColumn("n_hit", _covered(F.col("__ranges")))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words")))
             .select(*keep, "n_words", "n_hit", F.size("__items").cast("long").alias("n_items"),

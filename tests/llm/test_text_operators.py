@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import pathlib
 import random
 import re
 from collections import Counter, defaultdict
@@ -92,6 +93,19 @@ def test_decontaminate_prose(spark, prose, prose_rows, window):
     compare_hits(rows, items, list(enumerate(prose)), window)
 
 
+def test_decontaminate_many_blocks_write_the_texts_once(spark, prose, prose_rows):
+    from claimwright.session import scratch_scope
+    items = [(i % 25, " ".join(prose[i % len(prose)].split()[i:i + 5 + i % 9])) for i in range(120)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    with scratch_scope(spark) as folder:
+        rows = D.decontaminate(prose_rows, benchmark, window=4, block_bytes=60)
+        compare_hits(rows.collect(), items, list(enumerate(prose)), 4)
+        tables = [p.name for p in pathlib.Path(folder.removeprefix("file:")).iterdir()]
+        blocks = [p for p in pathlib.Path(folder.removeprefix("file:")).glob("table-llm-hits-*/block=*")]
+        assert len(blocks) >= 30 and sum(t.startswith("table-llm-decontaminate") for t in tables) == 1
+        assert all("__body" not in spark.read.parquet(str(b)).columns for b in blocks[:3])
+
+
 def test_decontaminate_empty_tables(spark, edge, none):
     benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert D.decontaminate(none, benchmark).collect() == []
