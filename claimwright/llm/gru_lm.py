@@ -234,11 +234,11 @@ class GRU:
             y[:, 2 * k:] = dc * r
             dh = (dh - dhz + y @ back) * goes_on[t][:, None]
         grads["u"] = np.concatenate([s[0] for s in steps]).T @ dgh.reshape(-1, 3 * k)
-        # Rows of x that occurred, and their sums.
-        ids, wide = last.ravel(), 3 * k
-        sums = np.bincount((ids[:, None] * wide + np.arange(wide)).ravel(), weights=dgx.ravel(), minlength=self.x.size)
-        used = np.flatnonzero(np.bincount(ids, minlength=self.n + 1))
-        grads["x"] = used, sums.reshape(-1, wide)[used].astype(np.float32)
+        # Rows of x that occurred, and their sums: rows in order of their symbol, added up run by run.
+        ids = last.ravel()
+        order = np.argsort(ids.astype(np.int16), kind="stable")
+        cuts = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        grads["x"] = ids[order[cuts]], np.add.reduceat(dgx.reshape(-1, 3 * k)[order], cuts, axis=0)
         return h
 
 
