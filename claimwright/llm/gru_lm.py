@@ -161,84 +161,91 @@ class GRU:
         """
         k = self.hidden
         out = np.ones((*last.shape, k + 1), dtype=np.float32)
-        given = self.x[last]
+        # Gate by gate (reset, update, candidate): each is one piece of memory.
+        given = np.ascontiguousarray(np.moveaxis(self.x.take(last, axis=0).reshape(*last.shape, 3, k), 2, 0))
+        u = self.gates()
         np.seterr(over="ignore")
         for t in range(len(last)):
             h = h * goes_on[t][:, None]
-            gh = h @ self.u
-            rz = given[t, :, :2 * k]
-            rz += gh[:, :2 * k]
+            gh = h @ u
+            rz, c = given[:2, t], given[2, t]
+            rz += gh[:2]
             np.negative(rz, out=rz)  # the logistic function; a large exponent gives 0
             np.exp(rz, out=rz)
             rz += 1
             np.reciprocal(rz, out=rz)
-            r, z = rz[:, :k], rz[:, k:]
-            c = given[t, :, 2 * k:]
-            c += r * gh[:, 2 * k:]
+            r, z = rz
+            c += r * gh[2]
             np.tanh(c, out=c)
             if steps is not None:
-                steps.append((h, r, z, c, gh[:, 2 * k:]))
+                steps.append((h, r, z, c, gh[2]))
             h = h + z * (c - h)
             out[t, :, :k] = h
         return h, out
 
+    def gates(self) -> np.ndarray:
+        """The state's weights gate by gate."""
+        k = self.hidden
+        return np.ascontiguousarray(self.u.reshape(k, 3, k).swapaxes(0, 1))
+
     def output(self, h: np.ndarray, want: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """ln p of each wanted symbol; with ``grads``, also sets the loss's gradients and returns that of the states."""
-        rows = np.arange(len(want))
+        """ln p of each wanted symbol (-1: none, 0); with ``grads``, also sets the loss's gradients and returns that of the states."""
         cls, word = np.divmod(want, self.size)
         full = grads is not None
+        # Rows in order of their class, so one product for each class; -1 comes first and is left out.
+        order = np.argsort(cls.astype(np.int16), kind="stable")[np.count_nonzero(want < 0):]
+        cls, word, h = cls[order], word[order], h[order]
+        rows = np.arange(len(order))
         pc, logp = _softmax(h @ self.class_w, rows, cls, full, self.class_w)
-        # Rows in order of their class: one product for each class.
-        order = np.argsort(cls.astype(np.int16), kind="stable")
-        sorted_cls, hs, ws = cls[order], h[order], word[order]
-        cuts = np.flatnonzero(np.r_[True, sorted_cls[1:] != sorted_cls[:-1], True])
-        z = np.empty((len(want), self.size), dtype=np.float32)
-        parts = [(int(sorted_cls[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(want) else []
+        cuts = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1], True])
+        z = np.empty((len(order), self.size), dtype=np.float32)
+        parts = [(int(cls[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(order) else []
         for c, a, b in parts:
-            np.matmul(hs[a:b], self.word_w[c], out=z[a:b])
-        pw, lw = _softmax(z, rows, ws, full, self.word_w)
-        logp[order] += lw
+            np.matmul(h[a:b], self.word_w[c], out=z[a:b])
+        pw, lw = _softmax(z, rows, word, full, self.word_w)
+        out = np.zeros(len(want), dtype=np.float32)
+        out[order] = logp + lw
         if not full:
-            return logp, None
+            return out, None
         pc[rows, cls] -= 1
-        pw[rows, ws] -= 1
+        pw[rows, word] -= 1
         grads["class_w"] = h.T @ pc
         grads["word_w"] = np.zeros_like(self.word_w)
-        back, back_w = pc @ self.class_w[:-1].T, np.empty((len(want), self.hidden), dtype=np.float32)
+        d = pc @ self.class_w[:-1].T
         for c, a, b in parts:
-            np.matmul(hs[a:b].T, pw[a:b], out=grads["word_w"][c])
-            np.matmul(pw[a:b], self.word_w[c, :-1].T, out=back_w[a:b])
-        back[order] += back_w
-        return logp, back
+            np.matmul(h[a:b].T, pw[a:b], out=grads["word_w"][c])
+            d[a:b] += pw[a:b] @ self.word_w[c, :-1].T
+        back = np.zeros((len(want), self.hidden), dtype=np.float32)
+        back[order] = d
+        return out, back
 
     def window(self, h: np.ndarray, last: np.ndarray, want: np.ndarray, goes_on: np.ndarray, grads: dict) -> np.ndarray:
         """Truncated backpropagation over one window (time x lanes; -1: none). Returns the last state."""
         k, steps, shape = self.hidden, [], want.shape
         h, out = self.states(h, last, goes_on, steps)
-        live, flat = want.ravel() >= 0, out.reshape(-1, k + 1)
-        d_out = np.zeros((want.size, k), dtype=np.float32)
-        _, d_out[live] = self.output(flat[live], want.ravel()[live], grads)
+        _, d_out = self.output(out.reshape(-1, k + 1), want.ravel(), grads)
         d_out = d_out.reshape(*shape, k)
-        dgx, dgh = np.empty((2, *shape, 3 * k), dtype=np.float32)
-        dh, back = np.zeros_like(h), np.ascontiguousarray(self.u.T)
+        # Gradients before the gates; the candidate's part of the state passes the reset gate, too.
+        dg, dgc = np.empty((3, *shape, k), dtype=np.float32), np.empty((*shape, k), dtype=np.float32)
+        dh, back = np.zeros_like(h), np.ascontiguousarray(self.gates().swapaxes(1, 2))
         for t in reversed(range(len(want))):
             before, r, z, c, gc = steps[t]
             dh = dh + d_out[t]
             dhz = dh * z
-            x, y = dgx[t], dgh[t]
-            dc = x[:, 2 * k:]
+            dr, dz, dc = dg[:, t]
             np.multiply(dhz, 1 - c * c, out=dc)
-            x[:, k:2 * k] = dhz * (c - before) * (1 - z)
-            x[:, :k] = dc * gc * r * (1 - r)
-            y[:, :2 * k] = x[:, :2 * k]
-            y[:, 2 * k:] = dc * r
-            dh = (dh - dhz + y @ back) * goes_on[t][:, None]
-        grads["u"] = np.concatenate([s[0] for s in steps]).T @ dgh.reshape(-1, 3 * k)
+            np.multiply(dhz * (c - before), 1 - z, out=dz)
+            np.multiply(dc * gc * r, 1 - r, out=dr)
+            np.multiply(dc, r, out=dgc[t])
+            dh = (dh - dhz + dr @ back[0] + dz @ back[1] + dgc[t] @ back[2]) * goes_on[t][:, None]
+        states = np.concatenate([s[0] for s in steps]).T
+        grads["u"] = np.concatenate([states @ d.reshape(-1, k) for d in (dg[0], dg[1], dgc)], axis=1)
         # Rows of x that occurred, and their sums: rows in order of their symbol, added up run by run.
         ids = last.ravel()
         order = np.argsort(ids.astype(np.int16), kind="stable")
         cuts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        grads["x"] = ids[order[cuts]], np.add.reduceat(dgx.reshape(-1, 3 * k)[order], cuts, axis=0)
+        by_row = np.moveaxis(dg.reshape(3, -1, k), 0, 1)[order].reshape(-1, 3 * k)
+        grads["x"] = ids[order[cuts]], np.add.reduceat(by_row, cuts, axis=0)
         return h
 
 
@@ -359,9 +366,8 @@ def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
     longest = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     for state, (last, want, goes_on, owner) in windows(((i, texts[i]) for i in longest), net, min(SCORED_LANES, max(1, len(texts)))):
         state[0], states = net.states(state[0], last, goes_on)
-        live = want.ravel() >= 0
-        logp, _ = net.output(states.reshape(-1, net.hidden + 1)[live], want.ravel()[live])
-        out += np.bincount(owner.ravel()[live], weights=logp, minlength=len(texts))
+        logp, _ = net.output(states.reshape(-1, net.hidden + 1), want.ravel())
+        out += np.bincount(owner.ravel(), weights=logp, minlength=len(texts))
     return out / np.log(10)
 
 
