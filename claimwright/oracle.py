@@ -569,6 +569,15 @@ FROM ca""", "ca")
     q["monthly_summary_positions"] = _with(
         "SELECT *, row_number() OVER (ORDER BY claim_month NULLS FIRST, provider_name NULLS FIRST, "
         "risk_category NULLS FIRST) AS position FROM mcs", "mcs")
+    periods = {"month": "strftime(service_date, '%Y-%m')", "year": "CAST(year(service_date) AS VARCHAR)",
+               "quarter": "CAST(year(service_date) AS VARCHAR) || '-Q' || CAST(quarter(service_date) AS VARCHAR)"}
+    q["distinct_rollups"] = _with("""
+SELECT 'month_provider' AS rollup, claim_month AS period, provider_name AS provider, risk_category,
+       CAST(NULL AS VARCHAR) AS member, unique_members AS distinct_count FROM mcs
+UNION ALL SELECT 'provider', NULL, provider_id, NULL, NULL, count(DISTINCT member_id) FROM ca GROUP BY provider_id
+UNION ALL SELECT 'member', NULL, NULL, NULL, member_id, count(DISTINCT provider_id) FROM ca GROUP BY member_id""" + "".join(
+        f"\nUNION ALL SELECT '{name}', {period}, NULL, risk_category, NULL, count(DISTINCT member_id) FROM ca "
+        f"GROUP BY {period}, risk_category" for name, period in periods.items()), "ca", "mcs")
     q["provider_performance"] = _with("""
 SELECT provider_id, provider_name, total_claims, CAST(total_claim_value AS DOUBLE) AS total_claim_value,
        avg_claim_amount, unique_members_served, avg_fraud_risk, high_risk_claims, medium_risk_claims,

@@ -25,7 +25,7 @@ from claimwright.operators.expectations import expectation_metrics, stored_metri
 from claimwright.operators.materialize import materialize
 from claimwright.operators.ordered import store_ordered
 from claimwright.operators.ranking import global_row_number
-from claimwright.plans import bucketed, gold, incremental, lineage, medallion, quality, silver
+from claimwright.plans import bucketed, distinct_rollups, gold, incremental, lineage, medallion, quality, silver
 from claimwright.session import scratch_path
 from claimwright.sources import testdata as TD
 from claimwright.sources.files import read_bronze, write_raw
@@ -336,6 +336,11 @@ def q_monthly_summary_positions(spark: SparkSession, d: str) -> DataFrame:
     return comparable(store_ordered(summary, gold.MONTHLY_ORDER, "monthly").positions())
 
 
+def q_distinct_rollups(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct members and providers of every roll-up, from one stored aggregate."""
+    return comparable(distinct_rollups.store_distinct_rollups(_analytics(spark, d)).all())
+
+
 def q_provider_performance(spark: SparkSession, d: str) -> DataFrame:
     return comparable(gold.provider_performance(_analytics(spark, d)))
 
@@ -540,4 +545,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_stats_incremental": q_member_stats_incremental,
     "claims_enriched_bucketed": q_claims_enriched_bucketed,
     "monthly_summary_positions": q_monthly_summary_positions,
+    "distinct_rollups": q_distinct_rollups,
 }
