@@ -6,23 +6,32 @@ claim), in ``buckets`` by a hash of the claim id.  A step
 
 1. lists the bronze files that no earlier step has seen (an anti-join with the
    stored list of files; the stream sinks' own logs say which files count),
-2. keeps the newest of the new rows per claim, merges them with the rows of the
-   buckets they fall into and rewrites those buckets alone,
+2. finds the buckets of the new rows from their claim ids alone, keeps the newest
+   of these buckets' old and new rows per claim in one shuffle and rewrites those
+   buckets alone,
 3. publishes files, buckets and statistics in one commit
    (:class:`~claimwright.operators.publish.VersionedStore`): a step that dies
    has no effect and the next one sees the same new files again.
 
-Statistics change by *retraction*: for every claim with new rows its old
-published row counts -1 and its new one +1.  They are kept as sums per
-(provider, member, claim date), which is fine enough for everything the two
-statistics tables need: sums and counts add and subtract, a group at count 0
-goes, and the latest date and the distinct members of a provider are those of
-the groups that are left.  Only statistics buckets with changes are rewritten.
+Statistics change by *retraction*: in the rewritten buckets every old published
+row counts -1 and every new one +1, so claims that stay as they were cancel out
+and what is left is what changed; no join looks for the changed claims.  They are
+kept as sums per (provider, member, claim date), which is fine enough for
+everything the two statistics tables need: sums and counts add and subtract, a
+group at count 0 goes, and the latest date and the distinct members of a provider
+are those of the groups that are left.  Only statistics buckets with changes are
+rewritten.
+
+Buckets are taken from the hash by which Spark deals the rows of a key to
+shuffle partitions.  So a task that writes after the shuffle on the key holds few
+buckets where the number of partitions and of buckets share a factor, and no
+second shuffle gathers the rows of a bucket.  What is written does not depend on
+that, only in how many files.
 
 No step reads the bronze rows of earlier files, and none collects more than the
 names of new files and touched buckets.  A hot claim id is reduced to one row
-per task before the shuffle, a hot provider is aggregated per task, and a large
-bucket is split among writers (rebalanced), so no key has to fit one task.
+per task before the shuffle, a hot provider is aggregated per task, and a bucket
+is written by any number of tasks, so no key has to fit one task.
 ``as_of`` decides which claims are valid, so it belongs to the state: a step
 with another date is refused.
 """
@@ -47,6 +56,7 @@ from claimwright.plans import silver
 FEEDS = {"claims_batch": silver.standardize_batch_claims, "claims_stream": silver.standardize_stream_claims}
 GRAIN = ("provider_id", "member_id", "claim_date")
 SUMS = ("n", "amount", "timed", "days")
+LAYOUT = 2  # how rows are dealt to buckets; a state with another layout cannot be continued
 FILES, CLAIMS, STATISTICS = "incremental/files", "incremental/claims", "incremental/statistics"
 
 
@@ -73,6 +83,8 @@ class ClaimsState:
         told = now.notes if now else {}
         if told and (told["buckets"], told["as_of"]) != (buckets, self.as_of):
             raise ValueError(f"the state has {told['buckets']} buckets as of {told['as_of']}")
+        if told and told.get("layout") != LAYOUT:
+            raise ValueError(f"the state has layout {told.get('layout')}, not {LAYOUT}")
 
     # --- reading ---------------------------------------------------------------
 
@@ -118,7 +130,7 @@ class ClaimsState:
         return expect_all_or_drop(silver.add_claim_flags(newest), silver.claims_rules(self.as_of))
 
     def _bucket_of(self, *keys: str) -> Column:
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.hash(*keys), F.lit(self.buckets)).cast("int")
 
     # --- a step ----------------------------------------------------------------
 
@@ -134,22 +146,19 @@ class ClaimsState:
         for source, files in _by_source(new).items():
             rows = self.spark.read.schema(listed[source].schema).parquet(*files)
             parts.append(FEEDS[source](rows))
-        fresh = materialize(_newest(reduce(DataFrame.unionByName, parts)).withColumn("bucket", self._bucket_of("claim_id")),
-                            "incremental-new")
-        touched = _numbers(fresh)
+        arrived = reduce(DataFrame.unionByName, parts)
+        touched = _numbers(arrived.select(self._bucket_of("claim_id").alias("bucket")))
         old = self._buckets(now, CLAIMS, touched)
-        columns = [c for c in fresh.columns if c != "bucket"]
-        merged = fresh if old is None else _newest(old.select(*columns).unionByName(fresh.select(*columns))).withColumn(
-            "bucket", self._bucket_of("claim_id"))
-        claims = self._written(merged, number, CLAIMS)
-        changed, statistics = self._change_statistics(now, number, fresh, claims)
+        newest = _newest(arrived if old is None else old.select(*arrived.columns).unionByName(arrived))
+        claims = self._written(newest.withColumn("bucket", self._bucket_of("claim_id")), number, CLAIMS)
+        changed, statistics = self._change_statistics(now, old, number, claims)
         files = self.spark.createDataFrame(new, "source string, file string")
         if now and FILES in now.paths:
             files = self.spark.read.parquet(*now.paths[FILES]).unionByName(files)
         files.write.parquet(self.store.path(number, FILES))
-        self.store.commit(number, {FILES: self.store.path(number, FILES), **_named(CLAIMS, claims, touched),
-                                   **_named(STATISTICS, statistics, changed)},
-                          {"buckets": self.buckets, "as_of": self.as_of})
+        self.store.commit(number, {FILES: self.store.path(number, FILES), **self._named(CLAIMS, claims, touched),
+                                   **self._named(STATISTICS, statistics, changed)},
+                          {"buckets": self.buckets, "as_of": self.as_of, "layout": LAYOUT})
         return Step(number, len(new), tuple(touched), tuple(changed))
 
     def _new_files(self, now: Version | None, listed: dict[str, list[str]]) -> list[tuple[str, str]]:
@@ -163,18 +172,18 @@ class ClaimsState:
     def _written(self, rows: DataFrame, number: int, table: str) -> str:
         """Write rows by bucket; a bucket is one folder, however many tasks write it."""
         path = self.store.path(number, table)
-        rows.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+        rows.write.partitionBy("bucket").parquet(path)
         return path
 
-    def _change_statistics(self, now: Version | None, number: int, fresh: DataFrame, claims: str) -> tuple[list[int], str]:
-        """Retract the old rows of the claims with new rows, count their new ones."""
-        touched = fresh.select(F.col("claim_id").alias("changed"))
-        old = self._buckets(now, CLAIMS, _numbers(fresh))
-        signed = []
-        for rows, sign in ((old, -1), (self.spark.read.parquet(claims).drop("bucket"), 1)):
-            if rows is not None:
-                same = rows["claim_id"].eqNullSafe(touched["changed"])
-                signed.append(self._processed(rows.join(touched, same, "left_semi")).withColumn("sign", F.lit(sign)))
+    def _named(self, table: str, path: str, buckets: list[int]) -> dict[str, str | list[str]]:
+        """Folders of the rewritten buckets; a bucket without rows has none."""
+        written = {int(p.rsplit("=", 1)[1]) for p in self.store.listed(f"{path}/bucket=*")}
+        return {f"{table}/{b}": f"{path}/bucket={b}" if b in written else [] for b in buckets}
+
+    def _change_statistics(self, now: Version | None, old: DataFrame | None, number: int, claims: str) -> tuple[list[int], str]:
+        """Retract the old rows of the rewritten buckets, count their new ones."""
+        signed = [self._processed(rows).withColumn("sign", F.lit(sign))
+                  for rows, sign in ((old, -1), (self.spark.read.parquet(claims).drop("bucket"), 1)) if rows is not None]
         counted = F.col("days_to_claim").isNotNull().cast("int")
         delta = (reduce(DataFrame.unionByName, signed)
                  .select(*GRAIN, F.col("sign").cast("bigint").alias("n"),
@@ -182,12 +191,13 @@ class ClaimsState:
                          (F.col("sign") * counted).cast("bigint").alias("timed"),
                          (F.col("sign") * F.coalesce("days_to_claim", F.lit(0))).cast("bigint").alias("days")))
         delta = self._added(delta).filter(" OR ".join(f"{c} != 0" for c in SUMS))
-        delta = materialize(delta.withColumn("bucket", self._bucket_of("provider_id")), "incremental-delta")
+        delta = materialize(delta.withColumn("bucket", self._bucket_of(*GRAIN)), "incremental-delta")
         changed = _numbers(delta)
         old = self._buckets(now, STATISTICS, changed)
-        rows = delta.drop("bucket") if old is None else old.select(*GRAIN, *SUMS).unionByName(delta.drop("bucket"))
-        kept = self._added(rows).filter("n != 0")
-        return changed, self._written(kept.withColumn("bucket", self._bucket_of("provider_id")), number, STATISTICS)
+        if old is None:  # the sums of the delta are all there is
+            return changed, self._written(delta.filter("n != 0"), number, STATISTICS)
+        kept = self._added(old.select(*GRAIN, *SUMS).unionByName(delta.drop("bucket"))).filter("n != 0")
+        return changed, self._written(kept.withColumn("bucket", self._bucket_of(*GRAIN)), number, STATISTICS)
 
     @staticmethod
     def _added(rows: DataFrame) -> DataFrame:
@@ -213,10 +223,6 @@ def _by_source(files: list[tuple[str, str]]) -> dict[str, list[str]]:
     return out
 
 
-def _named(table: str, path: str, buckets: list[int]) -> dict[str, str]:
-    return {f"{table}/{b}": f"{path}/bucket={b}" for b in buckets}
-
-
 def grow_in_steps(spark: SparkSession, root: str, arrivals: list[Mapping[str, DataFrame]], as_of: str | _dt.date,
                   buckets: int = 64) -> ClaimsState:
     """Append each arrival's bronze rows to the bronze tables under ``root`` and take a step after each."""
