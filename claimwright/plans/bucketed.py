@@ -19,6 +19,7 @@ The null member is salted like any other (it matches no dimension row).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -39,8 +40,9 @@ class BucketedClaims:
     dims: gold.Dimensions  # its member table is bucketed, too
     tables: tuple[str, str]
 
-    def enriched(self, cfg: ScoringConfig = DEFAULT_SCORING) -> DataFrame:
-        return gold.claims_enriched(self.claims, self.dims, cfg, member_key=(KEY, SALT))
+    def enriched(self, cfg: ScoringConfig = DEFAULT_SCORING,
+                 derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        return gold.claims_enriched(self.claims, self.dims, cfg, (KEY, SALT), derive)
 
     def drop(self) -> None:
         for table in self.tables:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from claimwright import queries as Q
 from claimwright.operators.materialize import materialize
-from claimwright.plans import gold
+from claimwright.plans import bucketed, gold, silver
 from claimwright.sources import testdata as TD
 
 from conftest import SF_SMALL
@@ -159,3 +159,52 @@ def test_ties_of_the_newest_row_are_settled(spark):
     one, other = (silver.dedup_claims(df).select("claim_id", "member_id", "claim_amount", "claim_date").collect()
                   for df in (claims, claims.repartition(7, "claim_amount")))
     assert sorted(one, key=repr) == sorted(other, key=repr) and len(one) < claims.count()
+
+
+def test_joins_carry_no_derived_column_and_give_the_same_rows(spark):
+    claims = spark.createDataFrame(
+        [("c1", "m1", "p1", 6000, 3, "A;B", None), ("c2", "m2", "p1", 60000, -1, None, "9"), ("c3", "m1", "p2", 5, None, "A", "9;8;")],
+        "claim_id string, member_id string, provider_id string, amount int, days int, icd10_codes string, cpt_codes string").select(
+        "claim_id", "member_id", "provider_id", F.col("amount").cast("decimal(10,2)").alias("claim_amount"),
+        F.expr("date_add(DATE'2000-01-01', days)").alias("claim_date"), F.lit("2000-01-01").cast("date").alias("service_date"),
+        "icd10_codes", "cpt_codes")
+    members = spark.createDataFrame([("m1", 30, True, "F", "R", "P", True)],
+                                    "MemberID string, age long, is_active_member boolean, Gender string, Region string, "
+                                    "PlanType string, has_complete_profile boolean")
+    providers = spark.createDataFrame([("p1", "n", True, "s", "a", None)],
+                                      "provider_id string, provider_name string, is_active boolean, specialty string, "
+                                      "address string, last_verified date")
+    flagged = materialize(silver.add_claim_flags(claims).drop("processed_timestamp"), "derive-flagged")
+    claims = materialize(claims, "derive-claims")
+    dims = gold.store_dimensions(flagged, members, providers)
+    expected = gold.claims_enriched(flagged, dims)
+    with static_plans(spark):
+        for got in (gold.claims_enriched(claims, dims, derive=silver.add_claim_flags),
+                    bucketed.store_bucketed(claims, dims, 4).enriched(derive=silver.add_claim_flags)):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "icd10_codes_array" in plan and "icd10_codes_array" not in plan.split("Exchange", 1)[1]
+            got = got.drop("processed_timestamp")
+            assert got.columns == expected.columns
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_queries_join_canonical_claims(spark):
+    for query in (Q.q_claims_enriched, Q.q_claims_enriched_bucketed, Q.q_member_risk_profile):
+        with static_plans(spark):
+            plan = query(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "Scan parquet" in line]
+        assert scans and not any("icd10_codes_array" in line or "is_high_value_claim" in line for line in scans)
+
+
+def test_months_are_grouped_by_one_date(spark):
+    rows = spark.createDataFrame([("2000-01-31", "LOW"), ("2000-01-01", "LOW"), ("2001-12-01", "LOW"), (None, "HIGH"), (None, "HIGH")],
+                                 "day string, risk_category string").select(
+        F.col("day").cast("date").alias("service_date"), "risk_category", F.lit("p").alias("provider_name"),
+        F.lit(1).cast("decimal(10,2)").alias("claim_amount"), F.lit("c").alias("claim_id"), F.lit(1.0).alias("fraud_risk_score"),
+        F.lit("m").alias("member_id"), F.lit("URGENT").alias("investigation_priority"), F.lit(True).alias("is_high_value_claim"))
+    summary = gold.monthly_claims_summary(materialize(rows, "month-rows"), sort=False)
+    got = summary.select("claim_month", "claim_year", "claim_quarter", "claim_count", "unique_members").collect()
+    assert {tuple(r) for r in got} == {("2000-01", 2000, "2000-Q1", 2, 1), ("2001-12", 2001, "2001-Q4", 1, 1), (None, None, None, 2, 1)}
+    assert summary.columns[:5] == ["claim_month", "claim_year", "claim_quarter", "provider_name", "risk_category"]
+    below = summary._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)[1]
+    assert "date_format" not in below and "quarter" not in below
