@@ -1,6 +1,6 @@
 """Distinct members and providers of every roll-up from one stored aggregate.
 
-The claim rows are read once, for six narrow columns.  Their members are
+The claim rows are read once, for five narrow columns.  Their members are
 numbered, and one table of cells (see :mod:`claimwright.operators.distinct`) by
 month, provider and risk category serves all counts: members of a month and
 provider, of a provider, of a month, quarter or year, and providers of a member.
@@ -17,19 +17,21 @@ from pyspark.sql import functions as F
 
 from claimwright.operators import distinct
 from claimwright.operators.materialize import materialize
+from claimwright.plans.gold import MONTH_START, period_columns
 
-FINE = ["claim_month", "claim_quarter", "claim_year", "provider_id", "provider_name", "risk_category"]
-MONTH = ["claim_month", "claim_quarter", "claim_year", "risk_category"]
+FINE = [MONTH_START, "provider_id", "provider_name", "risk_category"]
+MONTH = [MONTH_START, "risk_category"]
 
 
 @dataclass(frozen=True)
 class DistinctRollups:
     fine: DataFrame     # FINE, block, positions of the members
-    months: DataFrame   # MONTH, block, bits of the members
+    months: DataFrame   # MONTH and the names of its periods, block, bits of the members
     members: DataFrame  # member_id, member_number
 
     def members_by_month_and_provider(self) -> DataFrame:
-        return distinct.counted(self.fine, ["claim_month", "provider_name", "risk_category"], "unique_members")
+        found = distinct.counted(self.fine, [MONTH_START, "provider_name", "risk_category"], "unique_members")
+        return found.select(period_columns()["claim_month"].alias("claim_month"), "provider_name", "risk_category", "unique_members")
 
     def members_by_provider(self) -> DataFrame:
         return distinct.counted(self.fine, ["provider_id"], "unique_members")
@@ -66,12 +68,10 @@ class DistinctRollups:
 
 
 def store_distinct_rollups(analytics: DataFrame) -> DistinctRollups:
-    day = F.col("service_date")
-    narrow = materialize(analytics.select(
-        "member_id", "provider_id", "provider_name", "risk_category", F.date_format(day, "yyyy-MM").alias("claim_month"),
-        F.concat(F.year(day), F.lit("-Q"), F.quarter(day)).alias("claim_quarter"), F.year(day).alias("claim_year")), "distinct-rows")
+    narrow = materialize(analytics.select("member_id", "provider_id", "provider_name", "risk_category",
+                                          F.trunc("service_date", "MM").alias(MONTH_START)), "distinct-rows")
     members = materialize(distinct.number_values(narrow, "member_id", "member_number"), "distinct-members")
     numbered = distinct.with_number(narrow, "member_id", members, "member_number")
     fine = materialize(distinct.cells(numbered, FINE, "member_number"), "distinct-cells")
-    months = materialize(distinct.bitmaps(fine, MONTH), "distinct-months")
+    months = materialize(distinct.bitmaps(fine, MONTH).withColumns(period_columns()), "distinct-months")
     return DistinctRollups(fine, months, members)
