@@ -62,12 +62,13 @@ def slices(texts: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[T.StructField],
-              make: Callable[[], Callable[..., list[list]]], with_column: str | None = None) -> DataFrame:
+              make: Callable[[], Callable[..., list[list]]], with_column: str | None = None,
+              slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """``keep`` columns plus the columns ``fields`` computed from each text.
 
     ``make()`` runs once per task and returns the function that turns a list
-    of texts into one list of values per field; ``with_column`` names an array
-    column whose values it gets too.  Rows stay in place: no shuffle.  ``text``
+    of texts into one list (or Arrow array) of values per field; ``with_column`` names an array
+    column whose values it gets too.  ``slice_bytes`` of text make one list.  Rows stay in place: no shuffle.  ``text``
     is dropped from the result unless it is in ``keep``.
     """
     prepare(df.sparkSession)
@@ -79,14 +80,15 @@ def map_texts(df: DataFrame, text: str, keep: list[str], fields: list[T.StructFi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            for first, texts in slices(batch.column(n_keep)):
+            for first, texts in slices(batch.column(n_keep), slice_bytes):
                 more = []
                 if with_column:
                     column = batch.column(n_keep + 1).slice(first, len(texts))
                     more = [[v.values.to_numpy(zero_copy_only=False) for v in column]]
                 made = fn(texts, *more)
                 cols = [batch.column(i).slice(first, len(texts)).cast(arrow.field(i).type) for i in range(n_keep)]
-                cols += [pa.array(v, type=arrow.field(n_keep + i).type) for i, v in enumerate(made)]
+                cols += [v.cast(arrow.field(n_keep + i).type) if isinstance(v, pa.Array) else pa.array(v, type=arrow.field(n_keep + i).type)
+                         for i, v in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
     inputs = [df[c] for c in keep] + [df[text].alias("__text")]

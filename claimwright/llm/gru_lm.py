@@ -37,14 +37,13 @@ result.  Only the id and the text column are read.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
-from math import isqrt
+from math import isqrt, prod
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,18 +61,28 @@ WINDOW, LANES, SCORED_LANES, ROUNDS, RATE = 16, 512, 512, 2, 0.01
 CAP = 60
 #: Symbols that a lane holds ready, and weights that a task sends in one row.
 READY, SENT = 1024, 4096
+#: Bytes of text that are looked up at once: the frequent tokens are put into a table each time.
+LOOKED_UP = 8 << 20
 #: Distinct tokens that a counting task holds, and tokens that are scored together.
 COUNTED, SCORED = 200_000, 3_000_000
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-
 
 def held_out(key: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
-def tokens(text: bytes) -> list[bytes]:
-    return [*text.translate(_LOWER).split(), END]
+def words(texts: list[bytes], known: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The texts' tokens without ends: where each text's begin (and the last one's end), their numbers, and the distinct ones by number.
+
+    ``known`` distinct tokens have the first numbers, whether they occur or not.
+    """
+    lower = pc.ascii_lower(pa.array(texts, type=pa.large_binary()).view(pa.large_string()))
+    lists = pc.ascii_split_whitespace(lower)
+    # White space at a text's ends gives an empty word.
+    there = pc.binary_length(lists.values).to_numpy() > 0
+    before = np.concatenate([[0], np.cumsum(there)])
+    found = pa.concat_arrays([known.view(pa.large_string()), lists.values.filter(pa.array(there))]).dictionary_encode()
+    return before[lists.offsets.to_numpy()], found.indices.to_numpy()[len(known):], found.dictionary.view(pa.large_binary())
 
 
 # --- counts ------------------------------------------------------------------
@@ -83,27 +92,41 @@ def token_counts(docs: DataFrame, text: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def flushed():
-            words = pa.array(list(counts), type=pa.binary())
-            batch = pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), type=pa.int64())], ["token", "c"])
-            counts.clear()
-            return batch
+        def flushed(token: pa.Array, c: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([token.cast(pa.binary()), pa.array(c, type=pa.int64())], ["token", "c"])
 
+        none = pa.array([], type=pa.large_binary())
+        held, rows, ends = [], 0, 0
         for batch in batches:
             for _, texts in slices(batch.column(0)):
-                for t in texts:
-                    counts.update(t.translate(_LOWER).split())
-                counts[END] += len(texts)
-                if len(counts) > COUNTED:
-                    yield flushed()
-        yield flushed()
+                _, numbers, distinct = words(texts, none)
+                held.append((distinct, np.bincount(numbers, minlength=len(distinct))))
+                rows, ends = rows + len(distinct), ends + len(texts)
+                if rows > 2 * COUNTED:
+                    held = [_added_up(held)]
+                    rows = len(held[0][0])
+                    if rows > COUNTED:
+                        yield flushed(*held[0])
+                        held, rows = [], 0
+        if held:
+            yield flushed(*_added_up(held))
+        if ends:
+            yield flushed(pa.array([END], type=pa.large_binary()), np.array([ends]))
 
     parts = docs.select(text).mapInArrow(partial, "token binary, c long")
     return parts.groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def _added_up(parts: list[tuple[pa.Array, np.ndarray]]) -> tuple[pa.Array, np.ndarray]:
+    """Distinct tokens of all parts and their counts."""
+    if len(parts) == 1:
+        return parts[0]
+    found = pa.concat_arrays([token for token, _ in parts]).view(pa.large_string()).dictionary_encode()
+    total = np.zeros(len(found.dictionary), dtype=np.int64)
+    np.add.at(total, found.indices.to_numpy(), np.concatenate([c for _, c in parts]))
+    return found.dictionary.view(pa.large_binary()), total
+
+
 def _least_frequent(counts: DataFrame) -> int:
     """The least count of a frequent token: at most ``FREQUENT`` tokens reach it.
 
@@ -122,6 +145,20 @@ def _least_frequent(counts: DataFrame) -> int:
 
 # --- network -----------------------------------------------------------------
 
+class Room:
+    """Arrays that every window uses again, by name: new ones for each window cost more than filling them."""
+
+    def __init__(self, dtype: np.dtype):
+        self.dtype, self.kept = dtype, {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        """An array of any content, which is that of the last call with the name."""
+        size = prod(shape)
+        if name not in self.kept or len(self.kept[name]) < size:
+            self.kept[name] = np.empty(size, dtype=self.dtype)
+        return self.kept[name][:size].reshape(shape)
+
+
 class GRU:
     """Weights of the network; symbol ``n`` is *other*.  The last row of the output weights is the bias."""
 
@@ -130,7 +167,7 @@ class GRU:
     def __init__(self, counts: np.ndarray, hidden: int = HIDDEN, seed: int = 3):
         """``counts`` of the symbols, *other* last."""
         rng = np.random.default_rng(seed)
-        self.n, self.hidden = len(counts), hidden
+        self.n, self.hidden, self._room = len(counts), hidden, None
         self.size = max(1, isqrt(self.n - 1) + 1 if self.n else 1)
         self.classes = max(1, -(-self.n // self.size))
         p = np.full(self.classes * self.size, 1e-30)
@@ -144,6 +181,15 @@ class GRU:
         self.word_w = np.zeros((self.classes, hidden + 1, self.size), dtype=f)
         self.word_w[:, -1] = np.log(p / p.sum(axis=1, keepdims=True))
 
+    @property
+    def room(self) -> Room:
+        if self._room is None or self._room.dtype != self.x.dtype:
+            self._room = Room(self.x.dtype)
+        return self._room
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_room": None}
+
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
 
@@ -154,20 +200,31 @@ class GRU:
             setattr(self, n, flat[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def states(self, h: np.ndarray, last: np.ndarray, goes_on: np.ndarray, steps: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The last state, and all states with a 1 behind (time x lanes x hidden + 1).
+    def states(self, h: np.ndarray, last: np.ndarray, goes_on: np.ndarray, steps: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The last state, and all states with a 1 behind (time x lanes x hidden + 1; valid until the next call).
 
         ``goes_on`` is 0 where a text begins.  ``steps`` gets what the gradient needs.
         """
-        k = self.hidden
-        out = np.ones((*last.shape, k + 1), dtype=np.float32)
+        k, (times, lanes) = self.hidden, last.shape
+        room = self.room
+        out = room("out", times, lanes, k + 1)
+        out[..., k] = 1
         # Gate by gate (reset, update, candidate): each is one piece of memory.
-        given = np.ascontiguousarray(np.moveaxis(self.x.take(last, axis=0).reshape(*last.shape, 3, k), 2, 0))
+        given = room("given", 3, times, lanes, k)
+        np.take(self.x.reshape(-1, k), last * 3 + np.arange(3)[:, None, None], axis=0, out=given, mode="clip")
         u = self.gates()
+        gates = room("gates", times if steps is not None else 1, 3, lanes, k)
+        moves = room("moves", len(gates), lanes, k)
+        before, some = room("before", times + 1, lanes, k), room("some", lanes, k)
+        before[0] = h
+        when, where = np.nonzero(goes_on == 0)
+        begins = np.split(where, np.searchsorted(when, np.arange(1, times)))
         np.seterr(over="ignore")
-        for t in range(len(last)):
-            h = h * goes_on[t][:, None]
-            gh = h @ u
+        for t in range(times):
+            own = t if steps is not None else 0
+            h, gh, move = before[t], gates[own], moves[own]
+            h[begins[t]] = 0
+            np.matmul(h, u, out=gh)
             rz, c = given[:2, t], given[2, t]
             rz += gh[:2]
             np.negative(rz, out=rz)  # the logistic function; a large exponent gives 0
@@ -175,13 +232,14 @@ class GRU:
             rz += 1
             np.reciprocal(rz, out=rz)
             r, z = rz
-            c += r * gh[2]
+            c += np.multiply(r, gh[2], out=some)
             np.tanh(c, out=c)
-            if steps is not None:
-                steps.append((h, r, z, c, gh[2]))
-            h = h + z * (c - h)
-            out[t, :, :k] = h
-        return h, out
+            np.subtract(c, h, out=move)
+            np.add(h, np.multiply(z, move, out=some), out=before[t + 1])
+            out[t, :, :k] = before[t + 1]
+        if steps is not None:
+            steps.update(before=before[:times], given=given, moves=moves, candidates=gates[:, 2], begins=begins)
+        return before[times].copy(), out
 
     def gates(self) -> np.ndarray:
         """The state's weights gate by gate."""
@@ -189,68 +247,100 @@ class GRU:
         return np.ascontiguousarray(self.u.reshape(k, 3, k).swapaxes(0, 1))
 
     def output(self, h: np.ndarray, want: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """ln p of each wanted symbol (-1: none, 0); with ``grads``, also sets the loss's gradients and returns that of the states."""
+        """ln p of each wanted symbol (-1: none, 0); with ``grads``, also sets the loss's gradients and returns that of the states.
+
+        Gradients are valid until the next call; ``grads["classes"]`` are those whose words have any.
+        """
+        k, room = self.hidden, self.room
         cls, word = np.divmod(want, self.size)
         full = grads is not None
         # Rows in order of their class, so one product for each class; -1 comes first and is left out.
-        order = np.argsort(cls.astype(np.int16), kind="stable")[np.count_nonzero(want < 0):]
-        cls, word, h = cls[order], word[order], h[order]
-        rows = np.arange(len(order))
-        pc, logp = _softmax(h @ self.class_w, rows, cls, full, self.class_w)
-        cuts = np.flatnonzero(np.r_[True, cls[1:] != cls[:-1], True])
-        z = np.empty((len(order), self.size), dtype=np.float32)
-        parts = [(int(cls[a]), a, b) for a, b in zip(cuts[:-1], cuts[1:])] if len(order) else []
+        cls = cls.astype(np.int16)
+        order = np.argsort(cls, kind="stable")[np.count_nonzero(want < 0):]
+        n = len(order)
+        cls, word = cls[order], word[order]
+        h = np.take(h, order, axis=0, out=room("rows", n, k + 1), mode="clip") if h.dtype == self.x.dtype else h[order]
+        rows = np.arange(n)
+        its_class, its_word = rows * self.classes + cls, rows * self.size + word
+        pc, logp = _softmax(np.matmul(h, self.class_w, out=room("pc", n, self.classes)), its_class, full, self.class_w)
+        cuts = _runs(cls)
+        z = room("pw", n, self.size)
+        parts = [*zip(cls[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), n])]
         for c, a, b in parts:
             np.matmul(h[a:b], self.word_w[c], out=z[a:b])
-        pw, lw = _softmax(z, rows, word, full, self.word_w)
+        pw, lw = _softmax(z, its_word, full, self.word_w)
         out = np.zeros(len(want), dtype=np.float32)
         out[order] = logp + lw
         if not full:
             return out, None
-        pc[rows, cls] -= 1
-        pw[rows, word] -= 1
+        pc.reshape(-1)[its_class] -= 1
+        pw.reshape(-1)[its_word] -= 1
         grads["class_w"] = h.T @ pc
-        grads["word_w"] = np.zeros_like(self.word_w)
-        d = pc @ self.class_w[:-1].T
+        by_word = grads["word_w"] = room("word_w", *self.word_w.shape)
+        by_word.fill(0)
+        grads["classes"] = cls[cuts]
+        d = np.matmul(pc, self.class_w[:-1].T, out=room("d", n, k))
         for c, a, b in parts:
-            np.matmul(h[a:b].T, pw[a:b], out=grads["word_w"][c])
+            np.matmul(h[a:b].T, pw[a:b], out=by_word[c])
             d[a:b] += pw[a:b] @ self.word_w[c, :-1].T
-        back = np.zeros((len(want), self.hidden), dtype=np.float32)
+        back = room("back", len(want), k)
+        if n < len(want):
+            back.fill(0)
         back[order] = d
         return out, back
 
     def window(self, h: np.ndarray, last: np.ndarray, want: np.ndarray, goes_on: np.ndarray, grads: dict) -> np.ndarray:
         """Truncated backpropagation over one window (time x lanes; -1: none). Returns the last state."""
-        k, steps, shape = self.hidden, [], want.shape
+        k, room, steps, shape = self.hidden, self.room, {}, want.shape
         h, out = self.states(h, last, goes_on, steps)
         _, d_out = self.output(out.reshape(-1, k + 1), want.ravel(), grads)
         d_out = d_out.reshape(*shape, k)
-        # Gradients before the gates; the candidate's part of the state passes the reset gate, too.
-        dg, dgc = np.empty((3, *shape, k), dtype=np.float32), np.empty((*shape, k), dtype=np.float32)
+        (r, z, c), moves, candidates = steps["given"], steps["moves"], steps["candidates"]
+        slope = np.multiply(c, c, out=room("slope", *shape, k))
+        np.subtract(1, slope, out=slope)
+        rest_r, rest_z = np.subtract(1, steps["given"][:2], out=room("rest", 2, *shape, k))
+        # Gradients before the gates (reset, update, the state's part of the candidate, candidate): that part passes the reset gate, too.
+        dg, sent, dhz = room("dg", 4, *shape, k), room("sent", 3, shape[1], k), room("dhz", shape[1], k)
         dh, back = np.zeros_like(h), np.ascontiguousarray(self.gates().swapaxes(1, 2))
         for t in reversed(range(len(want))):
-            before, r, z, c, gc = steps[t]
-            dh = dh + d_out[t]
-            dhz = dh * z
-            dr, dz, dc = dg[:, t]
-            np.multiply(dhz, 1 - c * c, out=dc)
-            np.multiply(dhz * (c - before), 1 - z, out=dz)
-            np.multiply(dc * gc * r, 1 - r, out=dr)
-            np.multiply(dc, r, out=dgc[t])
-            dh = (dh - dhz + dr @ back[0] + dz @ back[1] + dgc[t] @ back[2]) * goes_on[t][:, None]
-        states = np.concatenate([s[0] for s in steps]).T
-        grads["u"] = np.concatenate([states @ d.reshape(-1, k) for d in (dg[0], dg[1], dgc)], axis=1)
+            dh += d_out[t]
+            np.multiply(dh, z[t], out=dhz)
+            dr, dz, dgc, dc = dg[:, t]
+            np.multiply(dhz, slope[t], out=dc)
+            np.multiply(dhz, moves[t], out=dz)
+            dz *= rest_z[t]
+            np.multiply(dc, candidates[t], out=dr)
+            dr *= r[t]
+            dr *= rest_r[t]
+            np.multiply(dc, r[t], out=dgc)
+            np.matmul(dg[:3, t], back, out=sent)
+            dh -= dhz
+            dh += sent[0]
+            dh += sent[1]
+            dh += sent[2]
+            dh[steps["begins"][t]] = 0
+        states = steps["before"].reshape(-1, k).T
+        grads["u"] = np.concatenate([states @ d.reshape(-1, k) for d in dg[:3]], axis=1)
         # Rows of x that occurred, and their sums: rows in order of their symbol, added up run by run.
-        ids = last.ravel()
-        order = np.argsort(ids.astype(np.int16), kind="stable")
-        cuts = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        by_row = np.moveaxis(dg.reshape(3, -1, k), 0, 1)[order].reshape(-1, 3 * k)
-        grads["x"] = ids[order[cuts]], np.add.reduceat(by_row, cuts, axis=0)
+        ids = last.ravel().astype(np.int16)
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        cuts = _runs(ids)
+        pieces = order[:, None] + np.array([0, 1, 3]) * len(order)
+        by_row = np.take(dg.reshape(-1, k), pieces, axis=0, out=room("by_row", len(order), 3, k), mode="clip")
+        grads["x"] = ids[cuts], np.add.reduceat(by_row.reshape(-1, 3 * k), cuts, axis=0)
         return h
 
 
-def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray, full: bool, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's probabilities (in place of ``z``, if ``full``) and the logarithm of the wanted one's.
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    begins = np.ones(len(ordered), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=begins[1:])
+    return np.flatnonzero(begins)
+
+
+def _softmax(z: np.ndarray, wanted: np.ndarray, full: bool, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's probabilities (in place of ``z``, if ``full``) and the logarithm of the wanted one's (by place in ``z``).
 
     Biases are logarithms of probabilities, so some entry is never far below 0;
     entries are not shifted by their maximum, but capped where the ``weights``
@@ -258,7 +348,7 @@ def _softmax(z: np.ndarray, rows: np.ndarray, wanted: np.ndarray, full: bool, we
     """
     if np.abs(weights[..., :-1, :]).sum(axis=-2).max(initial=0) > CAP:
         np.minimum(z, np.float32(CAP), out=z)
-    own = z[rows, wanted]
+    own = z.reshape(-1).take(wanted)
     np.exp(z, out=z)
     total = z @ np.ones((z.shape[1], 1), dtype=z.dtype)
     if full:
@@ -309,17 +399,18 @@ class Lanes:
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Symbols before and wanted (-1: none), whether texts go on, and whose they are (time x lanes)."""
-        places = self.at[:, None] + np.arange(WINDOW)
-        rows = np.arange(len(places))[:, None]
-        there = places < self.end[:, None]
-        want = np.where(there, self.symbols[rows, places], -1)
-        goes_on = np.where(there, self.goes_on[rows, places], np.float32(1))
-        last = np.concatenate([self.before[:, None], want[:, :-1]], axis=1)
+        places = self.at + np.arange(WINDOW)[:, None]
+        there = places < self.end
+        places += np.arange(len(self.at)) * self.symbols.shape[1]
+        want, goes_on, owner = (part.reshape(-1).take(places) for part in (self.symbols, self.goes_on, self.owner))
+        if not there.all():
+            want[~there] = -1
+            goes_on[~there] = 1
+        last = np.concatenate([self.before[None], want[:-1]])
         last[(goes_on == 0) | (last < 0)] = self.start
-        self.before = want[:, -1]
-        owner = self.owner[rows, places]
+        self.before = want[-1].copy()
         self.at = np.minimum(self.at + WINDOW, self.end)
-        return tuple(np.ascontiguousarray(x.T) for x in (last, want, goes_on, owner))
+        return last, want, goes_on, owner
 
 
 def windows(texts: Iterator[tuple[int, np.ndarray]], net: GRU, lanes: int = LANES) -> Iterator[tuple[list, np.ndarray]]:
@@ -347,12 +438,29 @@ class Learner:
             state[0] = net.window(state[0], last, want, goes_on, grads)
             self.tokens += n
             for name in GRU.NAMES:
-                rows, g = grads[name] if name == "x" else (slice(None), grads[name])
+                weights, squares = getattr(net, name), self.squares[name]
+                if name == "x":
+                    rows, g = grads["x"]
+                elif name == "word_w" and len(grads["classes"]) < net.classes:
+                    rows, g = grads["classes"], grads["word_w"][grads["classes"]]  # all others are 0 and change nothing
+                else:
+                    rows, g = None, grads[name]
                 g *= np.float32(n ** -0.5)
                 np.clip(g, -1, 1, out=g)
-                squares = self.squares[name][rows] + g * g
-                self.squares[name][rows] = squares
-                getattr(net, name)[rows] -= np.float32(self.rate) * g / np.sqrt(squares)
+                if rows is None:
+                    squares += g * g
+                    root = np.sqrt(squares)
+                else:
+                    root = squares.take(rows, axis=0)
+                    root += g * g
+                    squares[rows] = root
+                    np.sqrt(root, out=root)
+                g *= np.float32(self.rate)
+                g /= root
+                if rows is None:
+                    weights -= g
+                else:
+                    weights[rows] -= g
 
 
 def learned_in(text: bytes, rounds: int) -> int:
@@ -376,28 +484,29 @@ def score_texts(net: GRU, texts: list[np.ndarray]) -> np.ndarray:
 def _encode(docs: DataFrame, key: str, text: str, folds: int, fold: int, n_symbols: int, shared) -> DataFrame:
     """Per row: symbols (int16 bytes), token counts by kind, and the rarer tokens by their bytes.
 
-    ``shared`` holds the number of each frequent token, most frequent first,
-    and log10(c + 1) by number.
+    ``shared`` holds the frequent tokens, most frequent first, and log10(c + 1)
+    by number.
     """
     prepare(docs.sparkSession)
 
     def make():
-        numbers, logs = shared.value
+        frequent, logs = shared.value
         logs = np.append(logs, 0.0)  # rarer tokens: their counts are joined
-
-        def fn(texts: list[bytes]) -> list[list]:
-            out: list[list] = [[], [], [], [], [], []]
-            for t in texts:
-                words = tokens(t)
-                n = np.fromiter(map(numbers.get, words, repeat(len(numbers))), dtype=np.int32, count=len(words))
-                log, is_rare = logs[n], n == len(numbers)
-                others = np.minimum(n, n_symbols)
-                rare = [words[i] for i in np.flatnonzero(is_rare).tolist()]
-                row = (others.astype("<i2").tobytes(), len(words), len(words) - len(rare), float(log.sum()),
-                       float(log[others == n_symbols].sum()), rare)
-                for column, value in zip(out, row):
-                    column.append(value)
-            return out
+        end = frequent.index(pa.scalar(END, type=frequent.type)).as_py()
+        known = frequent if end >= 0 else pa.concat_arrays([frequent, pa.array([END], type=frequent.type)])
+        end = end % len(known)
+
+        def fn(texts: list[bytes]) -> list[list | np.ndarray | pa.Array]:
+            at, which, distinct = words(texts, known)
+            which = np.insert(which, at[1:], end)  # the end behind each text
+            at = at + np.arange(len(at))
+            log, is_rare, others = logs[np.minimum(which, len(frequent))], which >= len(frequent), np.minimum(which, n_symbols)
+            symbols, is_other = others.astype("<i2"), others == n_symbols
+            rarer = np.concatenate([[0], np.cumsum(is_rare)])[at]
+            rare = pa.LargeListArray.from_arrays(rarer, distinct.take(pa.array(which[is_rare])))
+            spans, sizes = [*zip(at[:-1].tolist(), at[1:].tolist())], np.diff(at)
+            return [[symbols[a:b].tobytes() for a, b in spans], sizes, sizes - np.diff(rarer),
+                    [float(log[a:b].sum()) for a, b in spans], [float(log[a:b][is_other[a:b]].sum()) for a, b in spans], rare]
         return fn
 
     fields = [T.StructField("symbols", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
@@ -405,7 +514,7 @@ def _encode(docs: DataFrame, key: str, text: str, folds: int, fold: int, n_symbo
               T.StructField("other_log", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType()))]
     rows = docs.select(docs[key].alias(key), docs[text].alias("__body"),
                        held_out(docs[key], folds, fold).alias("held_out"))
-    return map_texts(rows, "__body", [key, "held_out"], fields, make)
+    return map_texts(rows, "__body", [key, "held_out"], fields, make, slice_bytes=LOOKED_UP)
 
 
 def _train_round(spark: SparkSession, rows: DataFrame, net: GRU, round_number: int, rounds: int) -> None:
@@ -450,8 +559,8 @@ def lm_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: i
     short = counts.filter(F.octet_length("token") <= SHORT)
     least = _least_frequent(short)
     top = sorted(short.filter(F.col("c") >= least).collect(), key=lambda r: (-r.c, bytes(r.token)))
-    numbers = {bytes(r.token): i for i, r in enumerate(top)}
-    shared = spark.sparkContext.broadcast((numbers, np.log10(np.array([r.c for r in top], dtype=np.float64) + 1)))
+    frequent = pa.array([bytes(r.token) for r in top], type=pa.large_binary())
+    shared = spark.sparkContext.broadcast((frequent, np.log10(np.array([r.c for r in top], dtype=np.float64) + 1)))
     n_symbols = min(len(top), MOST_SYMBOLS, max(LEAST_SYMBOLS, isqrt(distinct) // 2))
     symbol_counts = np.array([r.c for r in top[:n_symbols]] + [total - sum(r.c for r in top[:n_symbols])], dtype=np.float64)
 

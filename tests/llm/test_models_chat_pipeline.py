@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_rows import SF_SMALL, edge, none, prose, prose_rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -193,6 +196,47 @@ def test_lm_gradients_agree_with_differences():
             assert abs((up - down) / 2e-5 - g[at]) < 1e-3 * max(1, abs(g[at])), (n, at)
 
 
+def test_lm_windows_use_their_arrays_again():
+    rng = np.random.default_rng(6)
+    net = gru_lm.GRU(rng.integers(1, 50, 1025).astype(float))
+    shape = gru_lm.WINDOW, gru_lm.LANES
+    h, goes_on = np.zeros((gru_lm.LANES, net.hidden), dtype=np.float32), np.ones(shape, dtype=np.float32)
+    windows = [rng.integers(0, 1025, shape).astype(np.int32) for _ in range(3)]
+    h = net.window(h, windows[0], windows[1], goes_on, {})
+    tracemalloc.start()
+    net.window(h, windows[1], windows[2], goes_on, {})
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 4 << 20
+    assert pickle.loads(pickle.dumps(net))._room is None  # not sent to the tasks
+
+
+def test_lm_learns_only_where_classes_have_words():
+    """Classes without a wanted word keep weights and squares; all others are as if every class had been added up."""
+    rng = np.random.default_rng(7)
+    net = gru_lm.GRU(rng.integers(1, 50, 100).astype(float), hidden=4)
+    before, learner = net.word_w.copy(), gru_lm.Learner(net, rate=0.1)
+    learner.learn(iter([np.array([3, 25, 3, 4, 26], dtype="<i2")]), lanes=2)  # classes of ten words: 0 and 2
+    changed = (net.word_w != before).any(axis=(1, 2)).tolist()
+    assert changed == (learner.squares["word_w"] != np.float32(1e-4)).any(axis=(1, 2)).tolist() == [c in (0, 2) for c in range(10)]
+
+
+@pytest.mark.parametrize("known", [[], [b"x", b"\n", b"a"]])
+def test_lm_words_are_those_of_plain_splitting(known):
+    texts = [b"", b" a  B ", b"\t\n\x0b\x0c\rX\xc3\x89 y\x85\xc2\xa0z \x1c\x1f q\xff", b"   ", b"one", b"\xe2\x80\x83a a\x00b", b"", b"A A"]
+    at, numbers, distinct = gru_lm.words(texts, pa.array(known, type=pa.large_binary()))
+    distinct = distinct.to_pylist()
+    assert distinct[:len(known)] == known and len(set(distinct)) == len(distinct)
+    got = [[distinct[i] for i in numbers[a:b]] for a, b in zip(at[:-1], at[1:])]
+    assert got == [re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), t)) for t in texts]
+
+
+def test_lm_counts_are_flushed_and_added_up(monkeypatch, prose, prose_rows):
+    monkeypatch.setattr(gru_lm, "COUNTED", 20)
+    want = Counter(w for t in prose for w in lm_tokens(t))
+    assert {bytes(r.token).decode(): r.c for r in gru_lm.token_counts(prose_rows, "text").collect()} == want
+
+
 # --- 8: quality --------------------------------------------------------------
 
 def test_quality_on_held_out_rows(spark):
