@@ -59,6 +59,9 @@ FREQUENT, SHORT = 200_000, 64
 WINDOW, LANES, SCORED_LANES, ROUNDS, RATE = 16, 512, 512, 2, 0.01
 #: No output's exponent is larger.
 CAP = 60
+#: Probability in its class of a place without a symbol: nothing beside 1, and neither it nor the
+#: square of its gradient is so small that arithmetic slows down (below 1.2e-38).
+NO_SYMBOL = 1e-15
 #: Symbols that a lane holds ready, and weights that a task sends in one row.
 READY, SENT = 1024, 4096
 #: Bytes of text that are looked up at once: the frequent tokens are put into a table each time.
@@ -179,7 +182,9 @@ class GRU:
         self.class_w = np.zeros((hidden + 1, self.classes), dtype=f)
         self.class_w[-1] = np.log(p.sum(axis=1))
         self.word_w = np.zeros((self.classes, hidden + 1, self.size), dtype=f)
-        self.word_w[:, -1] = np.log(p / p.sum(axis=1, keepdims=True))
+        bias = np.log(p / p.sum(axis=1, keepdims=True))
+        bias.reshape(-1)[self.n:] = np.log(NO_SYMBOL)
+        self.word_w[:, -1] = bias
 
     @property
     def room(self) -> Room:

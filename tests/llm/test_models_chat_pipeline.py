@@ -211,6 +211,18 @@ def test_lm_windows_use_their_arrays_again():
     assert pickle.loads(pickle.dumps(net))._room is None  # not sent to the tasks
 
 
+def test_lm_numbers_stay_normal_on_large_counts():
+    """Probabilities of places without a symbol and their gradients are not subnormal numbers, on which arithmetic is many times slower."""
+    rng = np.random.default_rng(8)
+    counts = np.append(rng.integers(1, 10**6, 1024), 10**10).astype(float)  # 31 places are left
+    net, shape, grads = gru_lm.GRU(counts), (gru_lm.WINDOW, 8), {}
+    want = rng.integers(1000, 1025, shape).astype(np.int32)
+    net.window(np.zeros((8, net.hidden), dtype=np.float32), want, want, np.ones(shape, dtype=np.float32), grads)
+    least = np.finfo(np.float32).tiny
+    for numbers in (net.room.kept["pw"], grads["word_w"], np.square(grads["word_w"][:, -1])):
+        assert not ((numbers != 0) & (np.abs(numbers) < least)).any()
+
+
 def test_lm_learns_only_where_classes_have_words():
     """Classes without a wanted word keep weights and squares; all others are as if every class had been added up."""
     rng = np.random.default_rng(7)
