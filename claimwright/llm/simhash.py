@@ -21,6 +21,11 @@ codes share such a key exactly when they are close enough, so the members of a
 key are linked to its smallest member, and the links grow with the rows.  The
 links of a crowd are thus enough for its components, not all its pairs.
 
+The looked-up and the starred rows come from an ``explode`` of some tens of
+masks for each code, which Spark sizes like the codes themselves.  Their joins
+are therefore told to shuffle both sides: left alone, Spark would broadcast
+rows of many times the threshold through the driver.
+
 *Classes.*  Links join distinct fingerprints, so copies cost nothing;
 components are found by :func:`claimwright.llm.components.components` and
 named after their smallest id.
@@ -136,7 +141,7 @@ def hamming_links(codes: DataFrame, code: str, max_distance: int, segments: int
 def _matches(probes: DataFrame, table: DataFrame, max_distance: int) -> DataFrame:
     """Codes stored under looked-up segment values, verified on the whole code."""
     near = _distance(F.col("code"), F.col("other")) <= max_distance
-    return (probes.join(table, ["seg", "value"], "inner").filter((F.col("code") < F.col("other")) & near)
+    return (probes.hint("merge").join(table, ["seg", "value"], "inner").filter((F.col("code") < F.col("other")) & near)
             .select(F.col("code").alias("a"), F.col("other").alias("b")))
 
 
@@ -148,7 +153,7 @@ def _crowd_links(codes: DataFrame, max_distance: int) -> DataFrame:
         F.struct(F.lit(_signed(m)).alias("flip"), F.lit(m.bit_count() <= near).alias("near")) for m in masks])).alias("p"))
     stars = stars.select("code", c.bitwiseXOR(F.col("p.flip")).alias("at"), F.col("p.near").alias("near"))
     centres = stars.filter("near").groupBy(F.col("at").alias("__at")).agg(F.min("code").alias("centre"))
-    linked = stars.join(centres, F.col("at") == F.col("__at"), "inner").filter(
+    linked = stars.hint("merge").join(centres, F.col("at") == F.col("__at"), "inner").filter(
         (c != F.col("centre")) & (_distance(c, F.col("centre")) <= max_distance))
     return linked.select(F.least("code", "centre").alias("a"), F.greatest("code", "centre").alias("b")).distinct()
 

@@ -194,6 +194,14 @@ def test_simhash_edge_rows(edge, none):
     assert M.simhash_dedup(none).collect() == []
 
 
+def test_simhash_exploded_rows_are_never_broadcast(spark):
+    codes = spark.range(3000).select(F.xxhash64("id").alias("code"))  # small as Spark sizes it, some 34 and 65 times as many rows exploded
+    for crowd in (64, 0, None):
+        plan = M.hamming_links(codes, "code", 2, crowd=crowd)._jdf.queryExecution().sparkPlan().toString()
+        joins = re.findall(r"(\w+Join) .*?, Inner", plan)
+        assert joins == ["SortMergeJoin"] * (1 if crowd is None else 2), plan
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 150)]
     rows = components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()
