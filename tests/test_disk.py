@@ -1,0 +1,78 @@
+"""What runs leave on the disk: shuffle files, staged rows, raw files, old versions."""
+
+from __future__ import annotations
+
+import glob
+import os
+import time
+
+import pytest
+from conftest import SF_SMALL
+
+from claimwright.plans import gold, medallion, silver
+from claimwright.session import SPARING_CONF, disk_spared, scratch_path
+from claimwright.sources import testdata as TD
+from claimwright.sources.files import read_raw, write_raw
+
+
+def plain(path):
+    return path.removeprefix("file:")
+
+
+@pytest.fixture
+def left_shuffles(spark):
+    """The shuffle files that are left of those written since the test began."""
+    def files():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+    before = files()
+
+    def left():
+        until = time.monotonic() + 10  # they are removed beside the next job
+        while files() - before and time.monotonic() < until:
+            time.sleep(0.2)
+        return files() - before
+
+    return left
+
+
+def test_settings_come_back_after_the_last_block(spark):
+    before = {key: spark.conf.get(key, None) for key in SPARING_CONF}
+    with disk_spared(spark):
+        with pytest.raises(OSError), disk_spared(spark):
+            raise OSError
+        assert {key: spark.conf.get(key) for key in SPARING_CONF} == SPARING_CONF
+    assert {key: spark.conf.get(key, None) for key in SPARING_CONF} == before
+
+
+def test_run_leaves_neither_shuffle_files_nor_the_raw_files_it_may_consume(spark, left_shuffles):
+    sources = ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference")
+    raw = {s: write_raw(TD.raw(spark, SF_SMALL, s), s, scratch_path(spark, f"t-disk-{s}"), compression="gzip") for s in sources}
+    assert glob.glob(f"{plain(raw['claims_batch'])}/*.csv.gz") and glob.glob(f"{plain(raw['claims_stream'])}/*.json.gz")
+    rows = {s: read_raw(spark, s, raw[s]).count() for s in sources}
+    assert rows == {s: TD.raw(spark, SF_SMALL, s).count() for s in sources}
+    left_shuffles()
+    run = medallion.run_all(spark, raw, scratch_path(spark, "t-disk-run"), as_of=TD.AS_OF, catalog_prefix="t_disk_", consume_raw=True)
+    assert {s: run.tables[s].count() for s in sources} == rows
+    assert not any(os.path.exists(plain(path)) for path in raw.values())
+
+    # written in slices, with the derived columns after the joins: the rows are those of one plain query
+    t = run.tables
+    dims = gold.store_dimensions(t["claims_processed"], t["members_processed"], t["providers_processed"])
+    whole = gold.claims_analytics(t["claims_processed"], dims)
+    assert t["claims_analytics"].columns == whole.columns and t["claims_analytics"].count() == whole.count()
+    assert t["claims_analytics"].exceptAll(whole).isEmpty()
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE t_disk_{layer} CASCADE")
+
+
+def test_derived_claim_columns_stay_out_of_the_joins(spark):
+    claims = silver.claims_processed(TD.bronze(spark, SF_SMALL, "claims_batch"), None, TD.AS_OF)
+    members = silver.members_processed(TD.bronze(spark, SF_SMALL, "members"), TD.AS_OF)
+    providers = silver.providers_processed(TD.bronze(spark, SF_SMALL, "providers"))
+    claims.write.parquet(path := scratch_path(spark, "t-disk-claims"))
+    plan = medallion._analytics(spark.read.parquet(path), members, providers)._jdf.queryExecution().optimizedPlan().toString()
+    below = [line for line in plan[plan.index("Join"):].splitlines() if "Relation " not in line]  # which names all that is stored
+    below = "\n".join(below)
+    assert "claim_amount" in below and not any(c in below for c in silver.CLAIM_COLUMNS)
