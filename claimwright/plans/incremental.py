@@ -39,7 +39,7 @@ with another date is refused.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -50,13 +50,15 @@ from pyspark.sql import functions as F
 from claimwright.operators.dedup import keep_first, latest_first
 from claimwright.operators.expectations import expect_all_or_drop
 from claimwright.operators.materialize import materialize
-from claimwright.operators.publish import Version, VersionedStore
+from claimwright.operators.publish import KEPT_VERSIONS, Version, VersionedStore
 from claimwright.plans import silver
+from claimwright.session import disk_spared
 
 FEEDS = {"claims_batch": silver.standardize_batch_claims, "claims_stream": silver.standardize_stream_claims}
 GRAIN = ("provider_id", "member_id", "claim_date")
 SUMS = ("n", "amount", "timed", "days")
 LAYOUT = 2  # how rows are dealt to buckets; a state with another layout cannot be continued
+SLICES = 2  # parts in which a step writes its buckets
 FILES, CLAIMS, STATISTICS = "incremental/files", "incremental/claims", "incremental/statistics"
 
 
@@ -74,10 +76,10 @@ def _newest(rows: DataFrame) -> DataFrame:
 
 
 class ClaimsState:
-    """The incremental claims under ``root``."""
+    """The incremental claims under ``root``; ``keep`` versions stay, one at least for its readers."""
 
-    def __init__(self, spark: SparkSession, root: str, as_of: str | _dt.date, buckets: int = 64):
-        self.spark, self.buckets, self.as_of = spark, buckets, str(as_of)
+    def __init__(self, spark: SparkSession, root: str, as_of: str | _dt.date, buckets: int = 64, keep: int = KEPT_VERSIONS):
+        self.spark, self.buckets, self.as_of, self.keep = spark, buckets, str(as_of), keep
         self.store = VersionedStore(spark, root)
         now = self.store.current()
         told = now.notes if now else {}
@@ -136,6 +138,10 @@ class ClaimsState:
 
     def step(self, bronze_paths: Mapping[str, str]) -> Step:
         """Take in the files under the bronze tables' paths that are new."""
+        with disk_spared(self.spark):
+            return self._step(bronze_paths)
+
+    def _step(self, bronze_paths: Mapping[str, str]) -> Step:
         now = self.store.current()
         listed = {source: self.spark.read.parquet(path) for source, path in bronze_paths.items()}
         new = self._new_files(now, {source: table.inputFiles() for source, table in listed.items()})
@@ -158,7 +164,7 @@ class ClaimsState:
         files.write.parquet(self.store.path(number, FILES))
         self.store.commit(number, {FILES: self.store.path(number, FILES), **self._named(CLAIMS, claims, touched),
                                    **self._named(STATISTICS, statistics, changed)},
-                          {"buckets": self.buckets, "as_of": self.as_of, "layout": LAYOUT})
+                          {"buckets": self.buckets, "as_of": self.as_of, "layout": LAYOUT}, self.keep)
         return Step(number, len(new), tuple(touched), tuple(changed))
 
     def _new_files(self, now: Version | None, listed: dict[str, list[str]]) -> list[tuple[str, str]]:
@@ -170,9 +176,14 @@ class ClaimsState:
         return [tuple(r) for r in files.join(seen, ["source", "file"], "left_anti").collect()]
 
     def _written(self, rows: DataFrame, number: int, table: str) -> str:
-        """Write rows by bucket; a bucket is one folder, however many tasks write it."""
+        """Write rows by bucket; a bucket is one folder, however many tasks write it.
+
+        Some of the buckets at a time: the filter goes below the shuffle, and the disk
+        holds the shuffle files of one slice.
+        """
         path = self.store.path(number, table)
-        rows.write.partitionBy("bucket").parquet(path)
+        for i in range(SLICES):
+            rows.filter(F.pmod("bucket", F.lit(SLICES)) == i).write.mode("append").partitionBy("bucket").parquet(path)
         return path
 
     def _named(self, table: str, path: str, buckets: list[int]) -> dict[str, str | list[str]]:
@@ -223,10 +234,10 @@ def _by_source(files: list[tuple[str, str]]) -> dict[str, list[str]]:
     return out
 
 
-def grow_in_steps(spark: SparkSession, root: str, arrivals: list[Mapping[str, DataFrame]], as_of: str | _dt.date,
-                  buckets: int = 64) -> ClaimsState:
+def grow_in_steps(spark: SparkSession, root: str, arrivals: Iterable[Mapping[str, DataFrame]], as_of: str | _dt.date,
+                  buckets: int = 64, keep: int = KEPT_VERSIONS) -> ClaimsState:
     """Append each arrival's bronze rows to the bronze tables under ``root`` and take a step after each."""
-    state = ClaimsState(spark, f"{root}/state", as_of, buckets)
+    state = ClaimsState(spark, f"{root}/state", as_of, buckets, keep)
     paths: dict[str, str] = {}
     for arrival in arrivals:
         paths |= {source: f"{root}/bronze/{source}" for source in arrival}

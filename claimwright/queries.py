@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -26,7 +26,7 @@ from claimwright.operators.materialize import materialize
 from claimwright.operators.ordered import store_ordered
 from claimwright.operators.ranking import global_row_number
 from claimwright.plans import bucketed, distinct_rollups, gold, incremental, lineage, medallion, quality, silver
-from claimwright.session import disk_spared, scratch_path
+from claimwright.session import disk_spared, remove_folder, scratch_path
 from claimwright.sources import testdata as TD
 from claimwright.sources.files import read_bronze, write_raw
 from claimwright.streaming.ingest import ingest_directory
@@ -492,16 +492,23 @@ def _grown(spark: SparkSession, d: str) -> incremental.ClaimsState:
     feeds = {s: TD.bronze(spark, d, s) for s in ("claims_batch", "claims_stream")}
     turn = F.pmod(F.xxhash64("ClaimID", "ingestion_timestamp"), F.lit(ARRIVALS))
 
-    def dealt(df: DataFrame) -> DataFrame:  # a feed is derived once, not once for each arrival
+    def dealt(df: DataFrame) -> tuple[str, DataFrame]:  # a feed is derived once, not once for each arrival
         path = scratch_path(spark, "arrivals")
         turns = df.withColumn("turn", turn.cast("int"))
         turns.write.partitionBy("turn").parquet(path)
-        return spark.read.schema(turns.schema).parquet(path)
-
-    with ThreadPoolExecutor(max_workers=len(feeds)) as pool:  # independent feeds
-        staged = dict(zip(feeds, pool.map(dealt, feeds.values())))
-    arrivals = [{s: df.filter(F.col("turn") == k).drop("turn") for s, df in staged.items()} for k in range(ARRIVALS)]
-    return incremental.grow_in_steps(spark, scratch_path(spark, "incremental"), arrivals, AS_OF, BUCKETS)
+        return path, spark.read.schema(turns.schema).parquet(path)
+
+    def arrivals(staged: dict[str, tuple[str, DataFrame]]) -> Iterator[dict[str, DataFrame]]:
+        for k in range(ARRIVALS):
+            yield {s: df.filter(F.col("turn") == k).drop("turn") for s, (_, df) in staged.items()}
+            for path, _ in staged.values():  # its rows are in the bronze tables now
+                remove_folder(spark, f"{path}/turn={k}")
+
+    with disk_spared(spark):
+        with ThreadPoolExecutor(max_workers=len(feeds)) as pool:  # independent feeds
+            staged = dict(zip(feeds, pool.map(dealt, feeds.values())))
+        # nobody reads the state before its last step
+        return incremental.grow_in_steps(spark, scratch_path(spark, "incremental"), arrivals(staged), AS_OF, BUCKETS, keep=1)
 
 
 def q_claims_incremental(spark: SparkSession, d: str) -> DataFrame:

@@ -8,9 +8,11 @@ import time
 
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
-from claimwright.plans import gold, medallion, silver
-from claimwright.session import SPARING_CONF, disk_spared, scratch_path
+from claimwright import queries
+from claimwright.plans import gold, incremental, medallion, silver
+from claimwright.session import SPARING_CONF, disk_spared, scratch_path, scratch_root
 from claimwright.sources import testdata as TD
 from claimwright.sources.files import read_raw, write_raw
 
@@ -46,6 +48,22 @@ def test_settings_come_back_after_the_last_block(spark):
     assert {key: spark.conf.get(key, None) for key in SPARING_CONF} == before
 
 
+def test_steps_leave_no_shuffle_files(spark, left_shuffles):
+    feed = TD.bronze(spark, SF_SMALL, "claims_stream")
+    arrivals = ({"claims_stream": feed.filter(F.pmod(F.xxhash64("ClaimID"), F.lit(2)) == k)} for k in range(2))
+    state = incremental.grow_in_steps(spark, scratch_path(spark, "t-disk-steps"), arrivals, TD.AS_OF, 4)
+    assert not left_shuffles()
+    assert state.newest_rows().count() == feed.select("ClaimID").distinct().count()
+
+
+def test_grown_state_keeps_neither_staged_arrivals_nor_old_versions(spark):
+    before = set(glob.glob(f"{plain(scratch_root(spark))}/arrivals-*/turn=*"))
+    state = queries._grown(spark, SF_SMALL)
+    assert set(glob.glob(f"{plain(scratch_root(spark))}/arrivals-*/turn=*")) == before
+    now = state.store.current()
+    assert now.number == queries.ARRIVALS and len(state.store.listed(f"{state.store.root}/{incremental.CLAIMS}/version-*")) == 1
+
+
 def test_run_leaves_neither_shuffle_files_nor_the_raw_files_it_may_consume(spark, left_shuffles):
     sources = ("claims_batch", "claims_stream", "members", "providers", "diagnosis_reference")
     raw = {s: write_raw(TD.raw(spark, SF_SMALL, s), s, scratch_path(spark, f"t-disk-{s}"), compression="gzip") for s in sources}
