@@ -430,3 +430,16 @@ def test_pipeline_stages_with_names_that_differ_in_case(spark, edge):
             assert stage(spark, odd, SF_SMALL).columns == ["doc_id", "text", "TEXT", "Doc_Id"], name
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_near_copies_stage_broadcasts_no_exploded_rows(monkeypatch, prose_rows):
+    plans, found = [], corpus_pipeline.simhash.components
+
+    def components(links, *names):
+        plans.append(links._jdf.queryExecution().sparkPlan().toString())
+        return found(links, *names)
+
+    monkeypatch.setattr(corpus_pipeline.simhash, "components", components)
+    kept = corpus_pipeline.drop_near_copies(prose_rows.sparkSession, prose_rows, SF_SMALL)
+    assert 0 < kept.count() <= prose_rows.count()
+    assert re.findall(r"(\w+Join) .*?, Inner", plans[0]) == ["SortMergeJoin"] * 2
